@@ -77,7 +77,8 @@ def pivot_counts(
     df: DataFrame, row: str, col: str, values: Iterable[str], count: str = "cnt", fill: int | None = 0
 ) -> DataFrame:
     """One column per listed value. Gaps are ``fill``, or null if it is None."""
-    wide = df.groupBy(row).agg(
-        *[F.sum(F.when(F.col(col) == v, F.col(count))).alias(str(v)) for v in values]
-    )
-    return wide if fill is None else wide.na.fill(fill, subset=[str(v) for v in values])
+    def cell(v: str) -> Column:
+        total = F.sum(F.when(F.col(col) == v, F.col(count)))
+        return total if fill is None else F.coalesce(total, F.lit(fill))
+
+    return df.groupBy(row).agg(*[cell(v).alias(str(v)) for v in values])

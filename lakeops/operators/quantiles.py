@@ -9,6 +9,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+RANGES = 256  # a power of two, for the binary search
+
+
 def approx_quantiles(
     df: DataFrame, value: str, probs: Sequence[float], by: Sequence[str] = (), accuracy: int = 10000
 ) -> DataFrame:
@@ -28,8 +31,23 @@ def _join_on(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFram
     return left.join(right, same).drop(*[f"_{k}" for k in keys])
 
 
+def _range_index(cuts: Column, value: Column) -> Column:
+    """How many of the sorted cuts lie below the value: a binary search of a few steps."""
+    steps = [RANGES >> i for i in range(1, RANGES.bit_length())]
+
+    def halve(found: Column, step: Column) -> Column:
+        return found + F.when(F.get(cuts, found + step - 1) < value, step).otherwise(0)
+
+    return F.aggregate(F.array(*[F.lit(s) for s in steps]), F.lit(0), halve)
+
+
+def _positions(probs: Sequence[float]) -> list[Column]:
+    """Zero-based positions of the wanted quantiles among ``_total`` rows."""
+    return [F.lit(float(p)) * (F.col("_total") - 1) for p in probs]
+
+
 def exact_quantiles(
-    df: DataFrame, value: str, probs: Sequence[float], by: Sequence[str] = (), buckets: int = 256
+    df: DataFrame, value: str, probs: Sequence[float], by: Sequence[str] = ()
 ) -> DataFrame:
     """Interpolated quantiles, equal to ``percentile``, without a whole group in one task.
 
@@ -39,46 +57,43 @@ def exact_quantiles(
     work; the ranks come from exact counts. A value that fills a third of the rows is one count.
     """
     keys = list(by)
-    if not keys:
-        keys = ["_all"]
-        df = df.withColumn("_all", F.lit(1))
     other = [F.col(k).alias(f"_{k}") for k in keys]
-
     counts = (
         df.where(F.col(value).isNotNull())
         .groupBy(*keys, F.col(value).cast("double").alias("_v"))
         .agg(F.count(F.lit(1)).alias("_n"))
     )
-    grid = F.array(*[F.lit(i / buckets) for i in range(1, buckets)])
-    cuts = counts.groupBy(*other).agg(
-        F.percentile_approx("_v", grid, 10 * buckets).alias("_cuts"),
-        F.sum("_n").alias("_total"),
-    )
-    ranged = _join_on(counts, cuts, keys).select(
-        *keys, "_v", "_n", "_total", F.size(F.filter("_cuts", lambda c: c < F.col("_v"))).alias("_range")
-    )
 
-    def holds(first: Column, after: Column) -> Column:
-        """Does a run of ranks hold one of the two ranks around any wanted position?"""
-        wanted = []
-        for p in probs:
-            at = F.lit(float(p)) * (F.col("_total") - 1)
-            wanted += [F.floor(at), F.ceil(at)]
-        return reduce(lambda a, b: a | b, [(rank >= first) & (rank < after) for rank in wanted])
+    grid = F.array(*[F.lit(i / RANGES) for i in range(1, RANGES)])
+    sketch = F.percentile_approx("_v", grid, 10 * RANGES).alias("_cuts")
+    guide = counts.groupBy(*other).agg(F.struct(sketch, F.sum("_n").alias("_total")).alias("_guide"))
+    guided = _join_on(counts, guide, keys) if keys else counts.withColumn("_guide", guide.scalar())
+    ranged = guided.select(
+        *keys, "_v", "_n", F.col("_guide._total").alias("_total"),
+        _range_index(F.col("_guide._cuts"), F.col("_v")).alias("_range"),
+    )
 
+    # Of every range, the ranks it covers; kept if a wanted rank is among them.
     range_order = Window.partitionBy(*[f"_{k}" for k in keys]).orderBy("__range")
+    start, end = F.col("_start"), F.col("_end")
+    wanted = [rank for at in _positions(probs) for rank in (F.floor(at), F.ceil(at))]
     wanted_ranges = (
         ranged.groupBy(*other, F.col("_range").alias("__range"))
         .agg(F.sum("_n").alias("_rows"), F.max("_total").alias("_total"))
         .withColumn("_end", F.sum("_rows").over(range_order))
         .withColumn("_start", F.col("_end") - F.col("_rows"))
-        .where(holds(F.col("_start"), F.col("_end")))
+        .where(reduce(lambda a, b: a | b, [(rank >= start) & (rank < end) for rank in wanted]))
         .select(*[f"_{k}" for k in keys], "__range", "_start")
     )
+
+    if keys:
+        kept = _join_on(ranged, wanted_ranges, [*keys, "_range"])
+    else:  # two ranges per quantile at most, so they fit a map and the rest is dropped in place
+        starts = wanted_ranges.agg(F.map_from_entries(F.collect_list(F.struct("__range", "_start")))).scalar()
+        kept = ranged.withColumn("_start", F.try_element_at(starts, "_range")).where("_start is not null")
     value_order = Window.partitionBy(*keys, "_range").orderBy("_v")
     ranked = (
-        _join_on(ranged, wanted_ranges, [*keys, "_range"])
-        .withColumn("_after", F.col("_start") + F.sum("_n").over(value_order))
+        kept.withColumn("_after", F.col("_start") + F.sum("_n").over(value_order))
         .withColumn("_first", F.col("_after") - F.col("_n"))
     )
 
@@ -86,12 +101,10 @@ def exact_quantiles(
         return F.max(F.when((rank >= F.col("_first")) & (rank < F.col("_after")), F.col("_v")))
 
     answers = []
-    for p in probs:
-        at = F.lit(float(p)) * (F.col("_total") - 1)
+    for p, at in zip(probs, _positions(probs)):
         low, high = at_rank(F.floor(at)), at_rank(F.ceil(at))
-        part = F.max(at - F.floor(at))
-        answers.append((low + (high - low) * part).alias(quantile_name(p)))
-    return ranked.groupBy(*keys).agg(*answers).drop("_all")
+        answers.append((low + (high - low) * F.max(at - F.floor(at))).alias(quantile_name(p)))
+    return ranked.groupBy(*keys).agg(*answers)
 
 
 def quantiles(

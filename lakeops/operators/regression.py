@@ -8,6 +8,7 @@ from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 from multiprocessing.pool import ThreadPool
 
+import numpy as np
 from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import VectorAssembler
@@ -115,36 +116,49 @@ def simple_fit(df: DataFrame, feature: str, label: str) -> DataFrame:
     )
 
 
-def condense(df: DataFrame, features: Sequence[str], label: str) -> DataFrame:
-    """A few weighted rows with the same count, means and covariances as the whole table.
+@dataclass(frozen=True)
+class Moments:
+    """Row count, means and covariances of a few columns."""
 
-    Least squares, ridge and elastic net see the data through these moments only, so a fit on
-    the condensed rows equals a fit on the table. The table is read once, for one aggregate; a
-    search over any number of parameters then runs on ``2 * (features + 1)`` rows.
-    """
-    import numpy as np
+    rows: int
+    mean: np.ndarray
+    cov: np.ndarray
 
-    cols = [*features, label]
+
+def moments(df: DataFrame, cols: Sequence[str], by: str) -> dict[str, Moments]:
+    """Moments of each group (such as the parts of a split) from one pass over the table, summed
+    on the executors into one row per group."""
     size = len(cols)
     pairs = [(i, j) for i in range(size) for j in range(i, size)]
-    moments = df.agg(
+    found = df.groupBy(by).agg(
         F.count(F.lit(1)),
         *[F.avg(c) for c in cols],
         *[F.covar_pop(cols[i], cols[j]) for i, j in pairs],
-    ).first()
-    n, means = moments[0], np.array(moments[1 : size + 1])
-    if not n:
-        raise ValueError("no rows to fit")
-    cov = np.zeros((size, size))
-    for (i, j), value in zip(pairs, moments[size + 1 :]):
-        cov[i, j] = cov[j, i] = value
-    scale = np.sqrt(np.diag(cov))
+    )
+    groups = {}
+    for name, n, *values in found.collect():
+        cov = np.zeros((size, size))
+        for (i, j), value in zip(pairs, values[size:]):
+            cov[i, j] = cov[j, i] = value
+        groups[name] = Moments(n, np.array(values[:size]), cov)
+    return groups
+
+
+def condense(spark: SparkSession, m: Moments, cols: Sequence[str]) -> DataFrame:
+    """A few weighted rows with the given count, means and covariances.
+
+    Least squares, ridge and elastic net see the data through these moments only, so a fit on
+    the condensed rows equals a fit on the table. A search over any number of parameters then
+    reads the table once and fits ``2 * columns`` rows.
+    """
+    size = len(cols)
+    scale = np.sqrt(np.diag(m.cov))
     scale[scale == 0] = 1.0
-    roots, axes = np.linalg.eigh(cov / np.outer(scale, scale))
+    roots, axes = np.linalg.eigh(m.cov / np.outer(scale, scale))
     steps = (axes * np.sqrt(np.clip(roots, 0, None) * size)).T * scale
-    rows = [(*map(float, means + sign * step), n / (2.0 * size)) for step in steps for sign in (1, -1)]
-    schema = ", ".join(f"`{c}` double" for c in [*cols, "row_weight"])
-    return df.sparkSession.createDataFrame(rows, schema)
+    weight = m.rows / (2.0 * size)
+    rows = [(*map(float, m.mean + sign * step), weight) for step in steps for sign in (1, -1)]
+    return spark.createDataFrame(rows, ", ".join(f"`{c}` double" for c in [*cols, "row_weight"]))
 
 
 @dataclass(frozen=True)
@@ -156,11 +170,11 @@ class Trial:
 
 
 def fit_trials(
-    train: DataFrame, features: Sequence[str], label: str, n: int = TRIALS, seed: int = 42
+    spark: SparkSession, train: Moments, features: Sequence[str], label: str, n: int = TRIALS, seed: int = 42
 ) -> list[Trial]:
-    """Fit seeded random parameters; the training table is read once."""
-    small = assemble(condense(train, features, label), features).select("features", label, "row_weight")
-    small = small.coalesce(1).persist()
+    """Fit seeded random parameters to the moments of the training rows."""
+    points = condense(spark, train, [*features, label])
+    small = assemble(points, features).select("features", label, "row_weight").coalesce(1).persist()
     pick = random.Random(seed)
     lr = LinearRegression(featuresCol="features", labelCol=label, weightCol="row_weight")
     grid = [
@@ -169,7 +183,7 @@ def fit_trials(
     ]
     fits = lr.fitMultiple(small, grid)
     with ThreadPool(min(n, PARALLEL_FITS)) as pool:
-        step = inheritable_thread_target(train.sparkSession)(lambda _: next(fits))
+        step = inheritable_thread_target(spark)(lambda _: next(fits))
         models = dict(pool.imap_unordered(step, range(n)))
     small.unpersist()
     return [
@@ -178,34 +192,36 @@ def fit_trials(
     ]
 
 
-def rank_trials(trials: Sequence[Trial], val: DataFrame, features: Sequence[str], label: str) -> DataFrame:
-    """Trials with their error on the validation rows, best first; all trials in one pass."""
-    scored = [score_expr(t.coefficients, t.intercept, features) for t in trials]
-    errors = val.agg(*[rmse(p, label).alias(f"e{i}") for i, p in enumerate(scored)])
-    rows = [
-        F.struct(
-            F.lit(i).alias("trial"),
-            F.lit(t.regParam).alias("reg_param"),
-            F.lit(t.elasticNetParam).alias("elastic_net_param"),
-            F.col(f"e{i}").alias("val_rmse"),
-        )
-        for i, t in enumerate(trials)
-    ]
-    return errors.select(F.inline(F.array(*rows))).orderBy("val_rmse", "trial")
+def rank_trials(spark: SparkSession, trials: Sequence[Trial], val: Moments) -> DataFrame:
+    """Trials with their error on the validation rows, best first. The mean squared error of a
+    linear model is a function of the moments too."""
+    rows = []
+    for i, t in enumerate(trials):
+        weights = np.append(t.coefficients.toArray(), -1.0)
+        bias = weights @ val.mean + t.intercept
+        error = math.sqrt(max(weights @ val.cov @ weights, 0.0) + bias**2)
+        rows.append((i, t.regParam, t.elasticNetParam, error))
+    rows.sort(key=lambda r: (r[3], r[0]))
+    return spark.createDataFrame(rows, "trial int, reg_param double, elastic_net_param double, val_rmse double")
 
 
 def search(
-    train: DataFrame, val: DataFrame, features: Sequence[str], label: str, n: int = TRIALS, seed: int = 42
+    tagged: DataFrame, features: Sequence[str], label: str, n: int = TRIALS, seed: int = 42, by: str = "split"
 ) -> DataFrame:
-    """Ranked trials of a random parameter search: two passes over the data, whatever n is."""
-    return rank_trials(fit_trials(train, features, label, n, seed), val, features, label)
+    """Ranked trials of a random parameter search over rows tagged ``train`` and ``val``. The
+    table is read once, whatever n is."""
+    parts = moments(tagged.where(F.col(by).isin("train", "val")), [*features, label], by)
+    if "train" not in parts or "val" not in parts:
+        raise ValueError("no training or no validation rows")
+    trials = fit_trials(tagged.sparkSession, parts["train"], features, label, n, seed)
+    return rank_trials(tagged.sparkSession, trials, parts["val"])
 
 
 def best_params(ranked: DataFrame) -> dict[str, float]:
     """Parameters of the first trial, to be passed to ``fit_linear``."""
-    top = ranked.select("reg_param", "elastic_net_param", "val_rmse").first()
-    if top is None or top.val_rmse is None or math.isnan(top.val_rmse):
-        raise ValueError("no trial could be evaluated")
+    top = ranked.orderBy("val_rmse", "trial").first()
+    if top is None:
+        raise ValueError("no trials")
     return {"regParam": top.reg_param, "elasticNetParam": top.elastic_net_param}
 
 

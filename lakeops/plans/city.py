@@ -6,7 +6,7 @@ import datetime as dt
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakeops.functions.measure import avg_2dp
@@ -80,7 +80,7 @@ def city_metrics(listing: DataFrame, detailed: DataFrame | None = None, exact: b
     """
     have = set(listing.columns)
 
-    def metric(needs: str, agg, dtype: str, name: str):
+    def metric(needs: str, agg: Column, dtype: str, name: str) -> Column:
         return (agg if needs in have else F.lit(None).cast(dtype)).alias(name)
 
     approx = "price_num" in have and not exact
@@ -123,18 +123,25 @@ def neighbourhood_metrics(listing: DataFrame) -> DataFrame:
 
 
 def cross_city(listing: DataFrame, price: str = "price_num", key: str = "id") -> DataFrame:
-    """Two cities side by side in one row and one pass. Takes a frame with ``is_berlin``."""
-
-    def of(berlin: bool, c: str):
-        return F.when(F.col("is_berlin") == F.lit(berlin), F.col(c))
-
-    return listing.agg(
-        avg_2dp(of(True, price)).alias("berlin_avg_price"),
-        avg_2dp(of(False, price)).alias("stockholm_avg_price"),
-        avg_2dp(of(True, "number_of_reviews")).alias("berlin_avg_reviews"),
-        avg_2dp(of(False, "number_of_reviews")).alias("stockholm_avg_reviews"),
-        F.count_distinct(of(True, key)).alias("berlin_listings"),
-        F.count_distinct(of(False, key)).alias("stockholm_listings"),
+    """Two cities side by side in one row. Takes a frame with ``is_berlin``; it is read once and
+    grouped by that flag, then the two groups are put next to each other."""
+    groups = listing.groupBy("is_berlin").agg(
+        avg_2dp(price).alias("avg_price"),
+        avg_2dp("number_of_reviews").alias("avg_reviews"),
+        F.count_distinct(key).alias("listings"),
+    )
+
+    def of(berlin: bool, c: str) -> Column:
+        return F.max(F.when(F.col("is_berlin") == F.lit(berlin), F.col(c)))
+
+    names = {"berlin": True, "stockholm": False}
+    return groups.agg(
+        *[
+            of(flag, c).alias(f"{name}_{c}")
+            for c in ("avg_price", "avg_reviews")
+            for name, flag in names.items()
+        ],
+        *[F.coalesce(of(flag, "listings"), F.lit(0)).alias(f"{name}_listings") for name, flag in names.items()],
     )
 
 

@@ -8,9 +8,13 @@ import uuid
 from pyspark.sql import SparkSession
 
 
-def local_session(cpus: int | str = "*", memory: str = "20g") -> SparkSession:
-    """Session for tests and the local benchmark. On a cluster, pass your own session instead."""
-    spark = (
+def local_session(cpus: int | str = "*", memory: str = "20g", **config: str) -> SparkSession:
+    """Session for tests and the local benchmark. On a cluster, pass your own session instead.
+
+    The test files hold one row group each, so a scan is one task. Broadcasting only tiny tables
+    makes joins shuffle and gives the work after them to all cores.
+    """
+    builder = (
         SparkSession.builder.master(f"local[{cpus}]")
         .appName("lakeops")
         .config("spark.sql.shuffle.partitions", "8")
@@ -18,8 +22,11 @@ def local_session(cpus: int | str = "*", memory: str = "20g") -> SparkSession:
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", memory)
         .config("spark.ui.enabled", "false")
-        .getOrCreate()
+        .config("spark.sql.autoBroadcastJoinThreshold", "256k")
     )
+    for key, value in config.items():
+        builder = builder.config(key, value)
+    spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from lakeops.operators import regression as reg
-from lakeops.operators.sample import split, with_split
+from lakeops.operators.sample import with_split
 from lakeops.plans.trips import FEATURES, LABEL, PICKUP
 from lakeops.suite import standins
 from lakeops.suite.registry import bucket, query
@@ -21,15 +21,10 @@ SPLIT = f"""{SILVER}, parts AS (SELECT *, CASE WHEN b < 70 THEN 'train' WHEN b <
 PREDICTION = " + ".join([f"{INTERCEPT}e0", *[f"CAST({c} AS DOUBLE) * {w}e0" for w, c in zip(COEFS, FEATURES)]])
 
 
-def _rows(spark, sf):
-    """Silver trips ready for training, with the key columns kept for the split."""
-    trips = standins.silver_trips(spark, sf)
-    keys = [F.col(k).alias(f"k{i}") for i, k in enumerate(KEY)]
-    return reg.training_rows(trips.select(*FEATURES, LABEL, *keys), FEATURES, LABEL)
-
-
-def _parts(spark, sf):
-    return split(_rows(spark, sf), [f"k{i}" for i in range(len(KEY))])
+def _tagged(spark, sf):
+    """Silver trips ready for training, each row in one part of the split."""
+    tagged = with_split(standins.silver_trips(spark, sf), KEY)
+    return reg.training_rows(tagged.select(*FEATURES, LABEL, "split"), FEATURES, LABEL)
 
 
 @query(
@@ -61,15 +56,15 @@ def linear_metrics_1d(spark, sf):
 @query()
 def fare_model(spark, sf):
     """Fit on train and validation rows, error on the test rows."""
-    train, val, test = _parts(spark, sf)
-    model = reg.fit_linear(train.unionByName(val), FEATURES, LABEL)
+    tagged = _tagged(spark, sf)
+    model = reg.fit_linear(tagged.where("split <> 'test'"), FEATURES, LABEL)
+    test = tagged.where("split = 'test'")
     return reg.evaluate(test.withColumn("prediction", reg.model_expr(model, FEATURES)), LABEL)
 
 
 @query()
 def param_search(spark, sf):
-    train, val, _ = _parts(spark, sf)
-    return reg.search(train, val, FEATURES, LABEL)
+    return reg.search(_tagged(spark, sf), FEATURES, LABEL)
 
 
 @query(f"{SILVER} SELECT {', '.join(KEY)}, round({PREDICTION}, 6) AS prediction FROM silver")
