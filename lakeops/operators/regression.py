@@ -4,11 +4,12 @@ from __future__ import annotations
 
 import math
 import random
-from collections.abc import Iterable, Sequence
+from collections.abc import Callable, Iterable, Iterator, Sequence
 from dataclasses import dataclass
 from multiprocessing.pool import ThreadPool
 
 import numpy as np
+import pandas as pd
 from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import VectorAssembler
@@ -16,6 +17,7 @@ from pyspark.ml.linalg import DenseVector
 from pyspark.ml.regression import LinearRegression, LinearRegressionModel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from lakeops.operators.aggregate import histogram
 from lakeops.operators.columns import cast_all
@@ -42,12 +44,6 @@ def _assembler(features: Sequence[str]) -> VectorAssembler:
     return VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="skip")
 
 
-def fit_linear(df: DataFrame, features: Sequence[str], label: str, **params: float) -> PipelineModel:
-    """Assembler and linear regression. MLlib sums the normal equations on the executors, one pass."""
-    stage = LinearRegression(featuresCol="features", labelCol=label, **params)
-    return Pipeline(stages=[_assembler(features), stage]).fit(df)
-
-
 def save_model(model: PipelineModel, path: str) -> None:
     model.write().overwrite().save(path)
 
@@ -80,6 +76,21 @@ def model_expr(model: PipelineModel, features: Sequence[str]) -> Column:
     return score_expr(stage.coefficients, stage.intercept, features)
 
 
+def score_opaque(
+    df: DataFrame, predict: Callable[[pd.DataFrame], pd.Series], features: Sequence[str]
+) -> DataFrame:
+    """Predictions of a model known only by its ``predict`` on pandas frames, batch by batch in
+    the tasks. For a linear model ``score_expr`` stays in the JVM."""
+    columns = list(features)
+
+    def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            yield batch.assign(prediction=predict(batch[columns]))
+
+    schema = StructType([*df.schema.fields, StructField("prediction", DoubleType())])
+    return df.mapInPandas(score, schema)
+
+
 def rmse(prediction: str | Column, label: str) -> Column:
     p = F.col(prediction) if isinstance(prediction, str) else prediction
     error = p - F.col(label)
@@ -125,18 +136,21 @@ class Moments:
     cov: np.ndarray
 
 
-def moments(df: DataFrame, cols: Sequence[str], by: str) -> dict[str, Moments]:
-    """Moments of each group (such as the parts of a split) from one pass over the table, summed
-    on the executors into one row per group."""
+def moments(df: DataFrame, cols: Sequence[str], by: str | None = None) -> dict[str | None, Moments]:
+    """Moments of each group (such as the parts of a split), or of the whole table under None.
+    One pass over the table, summed on the executors into one row per group."""
     size = len(cols)
     pairs = [(i, j) for i in range(size) for j in range(i, size)]
-    found = df.groupBy(by).agg(
+    found = df.groupBy(*([by] if by else [])).agg(
         F.count(F.lit(1)),
         *[F.avg(c) for c in cols],
         *[F.covar_pop(cols[i], cols[j]) for i, j in pairs],
     )
     groups = {}
-    for name, n, *values in found.collect():
+    for row in found.collect():
+        name, (n, *values) = (row[0], row[1:]) if by else (None, row)
+        if not n:
+            continue
         cov = np.zeros((size, size))
         for (i, j), value in zip(pairs, values[size:]):
             cov[i, j] = cov[j, i] = value
@@ -161,6 +175,24 @@ def condense(spark: SparkSession, m: Moments, cols: Sequence[str]) -> DataFrame:
     return spark.createDataFrame(rows, ", ".join(f"`{c}` double" for c in [*cols, "row_weight"]))
 
 
+def fit_moments(
+    spark: SparkSession, m: Moments, features: Sequence[str], label: str, **params: float
+) -> PipelineModel:
+    """Assembler and linear regression, fitted to the condensed rows."""
+    stage = LinearRegression(featuresCol="features", labelCol=label, weightCol="row_weight", **params)
+    points = condense(spark, m, [*features, label]).coalesce(1)
+    return Pipeline(stages=[_assembler(features), stage]).fit(points)
+
+
+def fit_linear(df: DataFrame, features: Sequence[str], label: str, **params: float) -> PipelineModel:
+    """Least squares (or with ``params`` ridge, lasso and elastic net) over the whole table, which
+    is read once. Fitting the table itself would read it a second time for a training summary."""
+    found = moments(df, [*features, label])
+    if not found:
+        raise ValueError("no rows to fit")
+    return fit_moments(df.sparkSession, found[None], features, label, **params)
+
+
 @dataclass(frozen=True)
 class Trial:
     regParam: float

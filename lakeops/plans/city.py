@@ -3,8 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Sequence
-from dataclasses import dataclass
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,6 +21,7 @@ from lakeops.operators.recommend import recommend
 from lakeops.operators.rows import dedupe, drop_all_null, drop_null_key
 from lakeops.params import Params, city_prefix
 from lakeops.plans.layers import copy_tables, reader
+from lakeops.sources.sinks import ensure_schema, write_table
 from lakeops.sources.tables import read_first, tables_like
 
 # fixed values: date columns of the detailed listings
@@ -157,45 +157,46 @@ def room_type_share(listing: DataFrame) -> DataFrame:
     return share(listing, "room_type", ["city"])
 
 
-@dataclass(frozen=True)
-class Report:
-    """The report tables of all cities; every field is a lazy frame."""
-
-    clean_summary: DataFrame
-    datasets: DataFrame
-    missing: DataFrame
-    price_hist: DataFrame
-    occ_by_month: DataFrame
-    neighbourhoods: DataFrame
-    room_share: DataFrame
-    rating_hist: DataFrame
-    recommendations: DataFrame
-
-
-def build_report(
-    listing: DataFrame, detailed: DataFrame, calendar: DataFrame, cities: Sequence[str], exact: bool = False
-) -> Report:
-    """All report tables from frames that carry a ``city`` column."""
+def base_tables(
+    listing: DataFrame, detailed: DataFrame, calendar: DataFrame, exact: bool = False
+) -> dict[str, DataFrame]:
+    """Report tables computed from the city tables themselves."""
     listing, detailed, calendar = prepare_listing(listing), prepare_detailed(detailed), typed_calendar(calendar)
-    by_month = occupancy_by_month(calendar)
-    price_hist, nb = price_histogram(detailed), neighbourhood_metrics(listing)
-    return Report(
-        clean_summary=clean_summary(city_metrics(listing, detailed, exact), by_month, exact),
-        datasets=union_all(
+    return {
+        "city_metrics": city_metrics(listing, detailed, exact),
+        "datasets": union_all(
             [
                 coverage("listing", listing),
                 coverage("detailed_listing", detailed, "last_scraped"),
                 coverage("calendar", calendar, "date"),
             ]
         ),
-        missing=missing_reports({"neighbourhood_metrics": nb, "price_hist": price_hist, "occ_by_month": by_month}),
-        price_hist=price_hist,
-        occ_by_month=by_month,
-        neighbourhoods=nb,
-        room_share=room_type_share(listing),
-        rating_hist=rating_histogram(detailed),
-        recommendations=recommend(price_hist, nb, by_month, cities),
-    )
+        "price_hist": price_histogram(detailed),
+        "occ_by_month": occupancy_by_month(calendar),
+        "neighbourhood_metrics": neighbourhood_metrics(listing),
+        "room_share": room_type_share(listing),
+        "rating_hist": rating_histogram(detailed),
+    }
+
+
+def derived_tables(base: Mapping[str, DataFrame], cities: Sequence[str], exact: bool = False) -> dict[str, DataFrame]:
+    """Report tables computed from other report tables."""
+    small = ("neighbourhood_metrics", "price_hist", "occ_by_month")
+    return {
+        "clean_summary": clean_summary(base["city_metrics"], base["occ_by_month"], exact),
+        "missing": missing_reports({name: base[name] for name in small}),
+        "recommendations": recommend(
+            base["price_hist"], base["neighbourhood_metrics"], base["occ_by_month"], cities
+        ),
+    }
+
+
+def build_report(
+    listing: DataFrame, detailed: DataFrame, calendar: DataFrame, cities: Sequence[str], exact: bool = False
+) -> dict[str, DataFrame]:
+    """All report tables, lazy, from frames that carry a ``city`` column."""
+    base = base_tables(listing, detailed, calendar, exact)
+    return base | derived_tables(base, cities, exact)
 
 
 def city_tables(spark: SparkSession, params: Params, *suffixes: str) -> DataFrame | None:
@@ -212,9 +213,27 @@ def reviews(spark: SparkSession, params: Params) -> DataFrame | None:
     return city_tables(spark, params, "detailed_reviews", "reviews", "review")
 
 
-def city_report(spark: SparkSession, params: Params, exact: bool = False) -> Report:
-    """The report over the stored city tables."""
+def report_inputs(spark: SparkSession, params: Params) -> list[DataFrame]:
     parts = [city_tables(spark, params, s) for s in ("listing", "detailed_listing", "calendar")]
     if any(p is None for p in parts):
         raise ValueError(f"listing, detailed_listing and calendar are needed in {params.schema}")
-    return build_report(*parts, cities=params.cities, exact=exact)
+    return parts
+
+
+def city_report(spark: SparkSession, params: Params, exact: bool = False) -> dict[str, DataFrame]:
+    """The report over the stored city tables, lazy."""
+    return build_report(*report_inputs(spark, params), cities=params.cities, exact=exact)
+
+
+def store_report(spark: SparkSession, params: Params, target: str, exact: bool = False) -> list[str]:
+    """Write the report tables to the target schema. The derived tables read the stored base
+    tables, so that listings and calendars are not aggregated once more for each of them."""
+    ensure_schema(spark, target)
+    base = base_tables(*report_inputs(spark, params), exact=exact)
+    for name, df in base.items():
+        write_table(df, f"{target}.{name}")
+    stored = {name: spark.table(f"{target}.{name}") for name in base}
+    derived = derived_tables(stored, params.cities, exact)
+    for name, df in derived.items():
+        write_table(df, f"{target}.{name}")
+    return [f"{target}.{name}" for name in (*base, *derived)]

@@ -73,7 +73,7 @@ STATS = ("occ_month_avg", "occ_month_median", "occ_p10", "occ_p90")
 def city_clean_summary(spark, sf):
     priced = standins.priced(spark, sf)
     report = plan.build_report(priced, priced, standins.calendar(spark, sf), CITIES, exact=True)
-    return _rounded(report.clean_summary, ROUNDED | dict.fromkeys(STATS, 9))
+    return _rounded(report["clean_summary"], ROUNDED | dict.fromkeys(STATS, 9))
 
 
 @query(
@@ -194,7 +194,7 @@ NB_COLUMNS = ["city", "neighbourhood", "listing_cnt", "avg_price", "avg_occ_365"
 )
 def missing_reports(spark, sf):
     priced = standins.priced(spark, sf)
-    return plan.build_report(priced, priced, standins.calendar(spark, sf), CITIES).missing
+    return plan.build_report(priced, priced, standins.calendar(spark, sf), CITIES)["missing"]
 
 
 @query(

@@ -96,8 +96,8 @@ def drop_all_null(spark, sf):
 
 
 @query(
-    """SELECT CASE WHEN l_orderkey % 13 <> 0 THEN l_orderkey END AS listing_id, l_linenumber AS stars
-    FROM lineitem WHERE l_orderkey % 13 <> 0"""
+    """SELECT * FROM (SELECT CASE WHEN l_orderkey % 13 <> 0 THEN l_orderkey END AS listing_id,
+      l_linenumber AS stars FROM lineitem) WHERE listing_id IS NOT NULL"""
 )
 def drop_null_key(spark, sf):
     """Reviews without an ``id``: every thirteenth listing id is a null, set here."""

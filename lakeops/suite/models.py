@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from lakeops.operators import regression as reg
@@ -73,6 +74,17 @@ def score_linear(spark, sf):
     return standins.silver_trips(spark, sf).select(*KEY, prediction.alias("prediction"))
 
 
+@query(f"{SILVER} SELECT {', '.join(FEATURES)}, round({PREDICTION}, 6) AS prediction FROM silver")
+def score_opaque(spark, sf):
+    """The same model as in ``score_linear``, known to Spark as a Python function only."""
+
+    def predict(batch):
+        return batch.astype(float).to_numpy() @ np.array(COEFS) + INTERCEPT
+
+    scored = reg.score_opaque(standins.silver_trips(spark, sf).select(*FEATURES), predict, FEATURES)
+    return scored.withColumn("prediction", F.round("prediction", 6))
+
+
 @query(
     f"""{SILVER} SELECT {", ".join(FEATURES)}, {PICKUP}, round({PREDICTION}, 6) AS prediction,
       CAST((SELECT max({PICKUP}) FROM silver) AS VARCHAR) AS window_end FROM silver

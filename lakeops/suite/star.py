@@ -125,9 +125,9 @@ def add_metadata(spark, sf):
     return stamped.select("o_orderkey", "area", F.col("processing_datetime").isNotNull().alias("stamped"))
 
 
-@query(f"SELECT n_nationkey, n_name, n_regionkey, {AT_SQL} AS load_timestamp FROM nation")
+@query(f"SELECT *, {AT_SQL} AS load_timestamp FROM orders")
 def load_stamp(spark, sf):
-    stamped = columns.add_load_timestamp(read_parquet(spark, sf, "nation"), AT)
+    stamped = columns.add_load_timestamp(read_parquet(spark, sf, "orders"), AT)
     return stamped.withColumn("load_timestamp", F.col("load_timestamp").cast("timestamp_ntz"))
 
 

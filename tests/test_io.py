@@ -207,12 +207,16 @@ def test_city_layers_and_report(spark, databases):
     assert city.reviews(spark, params).count() == 2
     assert spark.table(f"{db['gold']}.berlin_listing").count() == listing.where("city = 'Berlin'").count()
     report = city.city_report(spark, params)
-    summary = {r.city: r.listing_count for r in report.clean_summary.collect()}
+    summary = {r.city: r.listing_count for r in report["clean_summary"].collect()}
     assert summary == {"Berlin": 7440, "Stock": 7560}
-    assert report.datasets.count() == 6 and report.room_share.count() == 10
-    total = {r.city: r.s for r in report.room_share.groupBy("city").agg(F.sum("share").alias("s")).collect()}
-    assert total == pytest.approx({"Berlin": 1, "Stock": 1})
-    assert report.price_hist.agg(F.sum("cnt")).first()[0] > 0 and report.recommendations.count() == 0
+    assert report["datasets"].count() == 6 and report["room_share"].count() == 10
+    shares = report["room_share"].groupBy("city").agg(F.sum("share").alias("s"))
+    assert {r.city: r.s for r in shares.collect()} == pytest.approx({"Berlin": 1, "Stock": 1})
+    stored = city.store_report(spark, params, db["monitoring"])
+    assert len(stored) == len(report) == 10
+    for name, df in report.items():
+        assert spark.table(f"{db['monitoring']}.{name}").count() == df.count(), name
+    assert report["recommendations"].count() == 0
     primary, foreign = city.check_keys(spark, [db["silver"], db["gold"]], ["berlin", "stock"])
     assert primary.count() == 8 and primary.agg(F.sum("duplicate_keys")).first()[0] == 0
     assert {r.child for r in foreign.collect()} == {"berlin_calendar", "stock_calendar", "berlin_reviews", "stock_review"}

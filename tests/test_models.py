@@ -32,6 +32,13 @@ def test_fit_equals_least_squares(spark, tagged):
     assert stage.intercept == pytest.approx(solved[0], rel=1e-6)
 
 
+def test_fit_equals_mllib_on_the_rows(tagged):
+    for params in ({}, {"regParam": 5.0}, {"regParam": 900.0, "elasticNetParam": 1.0}):
+        ours, full = reg.linear_stage(reg.fit_linear(tagged, FEATURES, LABEL, **params)), mllib_fit(tagged, **params)
+        assert np.allclose(full.coefficients.toArray(), ours.coefficients.toArray(), rtol=1e-6, atol=1e-6)
+        assert full.intercept == pytest.approx(ours.intercept, rel=1e-6)
+
+
 def test_moments_equal_numpy(tagged):
     m = reg.moments(tagged, [*FEATURES, LABEL], "split")["val"]
     x, y = arrays(tagged.where("split = 'val'"))
@@ -40,13 +47,19 @@ def test_moments_equal_numpy(tagged):
     assert np.allclose(m.mean, data.mean(axis=0)) and np.allclose(m.cov, np.cov(data.T, bias=True))
 
 
+def mllib_fit(df, **params):
+    """MLlib on the rows themselves."""
+    from pyspark.ml.regression import LinearRegression
+
+    lr = LinearRegression(featuresCol="features", labelCol=LABEL, **params)
+    return lr.fit(reg.assemble(df, FEATURES))
+
+
 def test_condensed_rows_give_the_same_fit(spark, tagged):
     train = tagged.where("split = 'train'")
     m = reg.moments(tagged, [*FEATURES, LABEL], "split")["train"]
     for trial in reg.fit_trials(spark, m, FEATURES, LABEL, n=3, seed=5):
-        full = reg.linear_stage(
-            reg.fit_linear(train, FEATURES, LABEL, regParam=trial.regParam, elasticNetParam=trial.elasticNetParam)
-        )
+        full = mllib_fit(train, regParam=trial.regParam, elasticNetParam=trial.elasticNetParam)
         assert np.allclose(full.coefficients.toArray(), trial.coefficients.toArray(), rtol=1e-6, atol=1e-6)
         assert full.intercept == pytest.approx(trial.intercept, rel=1e-6)
 
@@ -179,3 +192,8 @@ def test_grid_counts_every_place_once(spark):
     got = {(r.cell_lat, r.cell_lon): (r.cnt, r.avg_price) for r in geo_grid(df, 100).collect()}
     assert got == {(3790, 2370): (2, 6.0), (3795, -1): (1, None)}
     assert [r.price for r in geo_points(df, 2).collect()] == ["$5", "$7"]
+
+
+def test_fit_needs_rows(spark):
+    with pytest.raises(ValueError):
+        reg.fit_linear(spark.createDataFrame([], "a double, y double"), ["a"], "y")
