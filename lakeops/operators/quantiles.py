@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 
 RANGES = 256  # a power of two, for the binary search
+ONE_RANGE = 10_000
+SALTS = 64
 
 
 def approx_quantiles(
@@ -25,10 +27,15 @@ def quantile_name(p: float) -> str:
     return f"p{p * 100:g}".replace(".", "_")
 
 
-def _join_on(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Inner join on keys that may be null; the right side has its keys under ``_<key>``."""
-    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys])
-    return left.join(right, same).drop(*[f"_{k}" for k in keys])
+def _join_guide(values: DataFrame, guide: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Give every value the guide row of its group; the guide has its keys under ``_<key>``.
+
+    A group may hold most of the values, so values are salted and each guide row, small as it
+    is, is repeated for every salt. A hash join builds on the guide and sorts nothing.
+    """
+    repeated = guide.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys] + [F.col("_salt") == F.col("__salt")]
+    return values.join(repeated.hint("shuffle_hash"), same).drop("__salt", *[f"_{k}" for k in keys])
 
 
 def _range_index(cuts: Column, value: Column) -> Column:
@@ -65,35 +72,40 @@ def exact_quantiles(
     )
 
     grid = F.array(*[F.lit(i / RANGES) for i in range(1, RANGES)])
-    sketch = F.percentile_approx("_v", grid, 10 * RANGES).alias("_cuts")
-    guide = counts.groupBy(*other).agg(F.struct(sketch, F.sum("_n").alias("_total")).alias("_guide"))
-    guided = _join_on(counts, guide, keys) if keys else counts.withColumn("_guide", guide.scalar())
+    sketch = F.percentile_approx("_v", grid, 10 * RANGES)
+    # A group of few values is one range: without cuts its guide row is tiny.
+    cuts = F.when(F.count("_n") > ONE_RANGE, sketch).otherwise(F.array().cast("array<double>"))
+    guide = counts.groupBy(*other).agg(F.struct(cuts.alias("cuts"), F.sum("_n").alias("total")).alias("_guide"))
+    if keys:
+        guided = _join_guide(counts.withColumn("_salt", F.pmod(F.hash("_v"), F.lit(SALTS))), guide, keys)
+    else:
+        guided = counts.withColumn("_guide", guide.scalar()).withColumn("_salt", F.lit(0))
     ranged = guided.select(
-        *keys, "_v", "_n", F.col("_guide._total").alias("_total"),
-        _range_index(F.col("_guide._cuts"), F.col("_v")).alias("_range"),
+        *keys, "_salt", "_v", "_n", F.col("_guide.total").alias("_total"),
+        _range_index(F.col("_guide.cuts"), F.col("_v")).alias("_range"),
     )
 
-    # Of every range, the ranks it covers; kept if a wanted rank is among them.
-    range_order = Window.partitionBy(*[f"_{k}" for k in keys]).orderBy("__range")
+    # Of every range, the ranks it covers; kept if a wanted rank is among them. That leaves two
+    # ranges per quantile at most, which fit a map of range to first rank.
+    range_order = Window.partitionBy(*[f"_{k}" for k in keys]).orderBy("_range")
     start, end = F.col("_start"), F.col("_end")
     wanted = [rank for at in _positions(probs) for rank in (F.floor(at), F.ceil(at))]
-    wanted_ranges = (
-        ranged.groupBy(*other, F.col("_range").alias("__range"))
+    starts = (
+        ranged.groupBy(*other, "_range")
         .agg(F.sum("_n").alias("_rows"), F.max("_total").alias("_total"))
         .withColumn("_end", F.sum("_rows").over(range_order))
         .withColumn("_start", F.col("_end") - F.col("_rows"))
         .where(reduce(lambda a, b: a | b, [(rank >= start) & (rank < end) for rank in wanted]))
-        .select(*[f"_{k}" for k in keys], "__range", "_start")
+        .groupBy(*[f"_{k}" for k in keys])
+        .agg(F.map_from_entries(F.collect_list(F.struct("_range", "_start"))).alias("_starts"))
     )
-
-    if keys:
-        kept = _join_on(ranged, wanted_ranges, [*keys, "_range"])
-    else:  # two ranges per quantile at most, so they fit a map and the rest is dropped in place
-        starts = wanted_ranges.agg(F.map_from_entries(F.collect_list(F.struct("__range", "_start")))).scalar()
-        kept = ranged.withColumn("_start", F.try_element_at(starts, "_range")).where("_start is not null")
+    placed = _join_guide(ranged, starts, keys) if keys else ranged.withColumn("_starts", starts.scalar())
     value_order = Window.partitionBy(*keys, "_range").orderBy("_v")
     ranked = (
-        kept.withColumn("_after", F.col("_start") + F.sum("_n").over(value_order))
+        placed.withColumn("_start", F.try_element_at("_starts", F.col("_range")))
+        .where("_start is not null")
+        .select(*keys, "_range", "_v", "_n", "_total", "_start")
+        .withColumn("_after", F.col("_start") + F.sum("_n").over(value_order))
         .withColumn("_first", F.col("_after") - F.col("_n"))
     )
 

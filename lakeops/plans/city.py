@@ -34,8 +34,9 @@ def city_to_bronze(spark: SparkSession, source: str, bronze: str, city: str, at:
 
 
 def clean(table: str, df: DataFrame) -> DataFrame:
-    """Distinct, non-empty rows with a key; a ``date`` column becomes a date."""
-    df = drop_null_key(drop_all_null(dedupe(df)), table)
+    """Distinct, non-empty rows with a key; a ``date`` column becomes a date. The filters come
+    first, so that rows without use are not shuffled to be compared."""
+    df = dedupe(drop_null_key(drop_all_null(df), table))
     dates = {c: safe_date(c) for c in df.columns if c.lower() == "date"}
     return df.withColumns(dates) if dates else df
 
