@@ -42,15 +42,22 @@ def run_once(spark, name: str, folder: str) -> float:
     return time.perf_counter() - start
 
 
+def jobs_of(spark, name: str, folder: str) -> int:
+    """Spark jobs of one run. Adaptive execution may split one aggregate into several."""
+    spark.sparkContext.setJobGroup(f"count-{name}", name)
+    run_once(spark, name, folder)
+    return len(spark.sparkContext.statusTracker().getJobIdsForGroup(f"count-{name}"))
+
+
 def main() -> None:
     folder = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
     names = os.environ.get("BENCH_QUERIES", "").split(",") if os.environ.get("BENCH_QUERIES") else HEADLINE
     spark = local_session(cpus)
     spark.conf.set("spark.sql.shuffle.partitions", cpus if cpus.isdigit() else "8")
-    times = {}
+    times, jobs = {}, {}
     for name in names:
-        run_once(spark, name, folder)
+        jobs[name] = jobs_of(spark, name, folder)
         times[name] = round(statistics.median(run_once(spark, name, folder) for _ in range(RUNS)), 4)
     spark.stop()
     print(
@@ -60,6 +67,7 @@ def main() -> None:
                 "value": round(sum(times.values()), 4),
                 "unit": "sec",
                 "queries": times,
+                "jobs": jobs,
                 "sf": os.path.basename(folder.rstrip("/")).removeprefix("sf"),
                 "cpus": cpus,
             }
