@@ -55,6 +55,14 @@ def mllib_fit(df, **params):
     return lr.fit(reg.assemble(df, FEATURES))
 
 
+def test_moments_keep_their_digits_far_from_zero(spark):
+    far = spark.range(20000).select((F.lit(1e9) + F.rand(1)).alias("a"), (F.lit(-1e8) + F.randn(2)).alias("b")).persist()
+    data = far.toPandas().to_numpy()
+    m = reg.moments(far, ["a", "b"])[None]
+    centred = data - data.mean(axis=0)
+    assert np.allclose(m.cov, centred.T @ centred / len(data), rtol=1e-6, atol=1e-6)
+
+
 def test_condensed_rows_give_the_same_fit(spark, tagged):
     train = tagged.where("split = 'train'")
     m = reg.moments(tagged, [*FEATURES, LABEL], "split")["train"]
