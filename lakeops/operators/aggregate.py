@@ -44,14 +44,14 @@ def rating_histogram(
 
 
 def histogram(df: DataFrame, value: str | Column, lo: float, hi: float, bins: int) -> DataFrame:
-    """Fixed-width histogram of the value clipped to the range; the last bin is closed. Bins
-    without rows are left out."""
-    x = F.col(value) if isinstance(value, str) else value
+    """Fixed-width histogram of the value clipped to the range; the last bin is closed. Nulls
+    and NaN are in no bin, and bins without rows are left out."""
+    x = (F.col(value) if isinstance(value, str) else value).cast("double")
     width = (hi - lo) / bins
     clipped = F.least(F.greatest(x, F.lit(float(lo))), F.lit(float(hi)))
     index = F.least(F.floor((clipped - F.lit(float(lo))) / F.lit(width)), F.lit(bins - 1).cast("bigint"))
     return (
-        df.where(x.isNotNull())
+        df.where(x.isNotNull() & ~F.isnan(x))
         .groupBy(index.alias("bin"))
         .agg(F.count(F.lit(1)).alias("cnt"))
         .withColumn("bin_start", F.lit(float(lo)) + F.col("bin") * F.lit(width))

@@ -88,9 +88,10 @@ def replace_partitions(df: DataFrame, path: str, keys: Iterable[str]) -> None:
 def drop_tables(
     spark: SparkSession, names: Iterable[str], protected: Iterable[str] = SOURCE_LAYERS
 ) -> None:
-    """Drop tables if they exist. Tables of a source layer are refused, all or nothing."""
+    """Drop tables if they exist. Tables of a source layer, and copies that end in ``_raw``, are
+    refused, all or nothing: later layers could not be built again without them."""
     names, layers = list(names), set(protected)
-    refused = [n for n in names if layers & set(n.lower().split(".")[:-1])]
+    refused = [n for n in names if layers & set(n.lower().split(".")[:-1]) or n.lower().endswith("_raw")]
     if refused:
         raise ValueError(f"refusing to drop source tables {refused}")
     for name in names:

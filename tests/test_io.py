@@ -119,6 +119,8 @@ def test_source_tables_are_not_dropped(spark, schema):
     sinks.write_table(spark.range(1), f"{schema}.x")
     with pytest.raises(ValueError):
         sinks.drop_tables(spark, [f"{schema}.x", "raw.trips"])
+    with pytest.raises(ValueError):
+        sinks.drop_tables(spark, [f"{schema}.x", f"{schema}.trips_raw"])
     assert spark.catalog.tableExists(f"{schema}.x")
     sinks.drop_tables(spark, [f"{schema}.x", f"{schema}.never"])
     assert not spark.catalog.tableExists(f"{schema}.x")

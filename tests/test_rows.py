@@ -81,7 +81,7 @@ def test_share_sums_to_one_and_takes_null_groups(spark):
 
 
 def test_histogram_closes_the_last_bin(spark):
-    df = spark.createDataFrame([(-5.0,), (0.0,), (199.9,), (200.0,), (900.0,), (None,)], "x double")
+    df = spark.createDataFrame([(-5.0,), (0.0,), (199.9,), (200.0,), (900.0,), (None,), (float('nan'),)], "x double")
     got = {r.bin: r.cnt for r in aggregate.histogram(df, "x", 0, 200, 60).collect()}
     assert got == {0: 2, 59: 3}
 

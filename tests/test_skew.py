@@ -1,0 +1,79 @@
+"""One key holds a third of all rows: results stay whole and no task gets the key's rows."""
+
+import re
+
+import pytest
+from conftest import SF
+from pyspark.sql import functions as F
+
+from lakeops.operators import keys, rows
+from lakeops.plans import star, trips
+from lakeops.sources.tables import read_parquet
+from lakeops.suite import standins
+
+
+@pytest.fixture
+def tight(spark):
+    """Settings that make the small tables look large to adaptive execution."""
+    wanted = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "32k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "32k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.shuffle.partitions": "16",
+    }
+    before = {k: spark.conf.get(k) for k in wanted}
+    for k, v in wanted.items():
+        spark.conf.set(k, v)
+    yield spark
+    for k, v in before.items():
+        spark.conf.set(k, v)
+
+
+def hot_lineitem(spark):
+    lines = read_parquet(spark, SF, "lineitem").repartition(8)
+    return lines.withColumn("l_orderkey", F.when(F.col("l_partkey") % 3 == 0, 7).otherwise(F.col("l_orderkey")).cast("long"))
+
+
+def test_a_hot_order_is_split_in_the_trip_join(tight):
+    raw = tight.sql(standins.TRIPS, lineitem=hot_lineitem(tight), orders=read_parquet(tight, SF, "orders"))
+    gold = trips.daily(trips.silver(raw))
+    total = sum(r.trips_cnt for r in gold.collect())
+    plan = gold._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"SortMergeJoin\(skew=true\)", plan)
+    assert total == trips.silver(raw).count()
+
+
+def test_hot_keys_are_one_row_per_task_in_key_checks(tight):
+    lines = hot_lineitem(tight)
+    hot = lines.where("l_orderkey = 7").count()
+    assert hot > lines.count() / 4
+    found = keys.pk_violations(lines, "l_orderkey")
+    assert found.first().excess_rows == lines.count() - lines.select("l_orderkey").distinct().count()
+    lost = keys.fk_orphans(lines, "l_orderkey", read_parquet(tight, SF, "orders").where("o_orderkey <> 7"), "o_orderkey")
+    assert tuple(lost.first()) == (1, hot)
+    for df in (found, lost):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert re.search(r"HashAggregate\(keys=\[.*\], functions=\[partial_count", plan)
+
+
+def test_top_customer_and_dedupe_under_skew(tight):
+    orders = star.silver("orders", read_parquet(tight, SF, "orders")).withColumn(
+        "customer_id", F.when(F.col("order_id") % 3 == 0, 11).otherwise(F.col("customer_id")).cast("long")
+    )
+    customer = star.silver("customer", read_parquet(tight, SF, "customer"))
+    nation = read_parquet(tight, SF, "nation")
+    want = customer.where("customer_id = 11").join(nation, F.expr("nation_id = n_nationkey")).first().n_name
+    assert star.top_customer_nation(orders, customer, nation).first().nationality == want
+    copies = orders.select("customer_id")
+    assert rows.dedupe(copies).count() == copies.distinct().count()
+
+
+def test_a_customer_with_many_orders_is_not_broadcast(tight):
+    lines, orders = read_parquet(tight, SF, "lineitem"), star.silver("orders", read_parquet(tight, SF, "orders"))
+    mine = orders.where("customer_id = 605")
+    assert "ResolvedHint" in star.broadcast_if_small(mine)._jdf.queryExecution().analyzed().toString()
+    assert "ResolvedHint" not in star.broadcast_if_small(mine, 3)._jdf.queryExecution().analyzed().toString()
+    got = star.quantity_of_customer(lines, orders, 605).first().sum_quantity
+    ids = [r.order_id for r in mine.collect()]
+    assert got == lines.where(F.col("l_orderkey").isin(ids)).agg(F.sum("l_quantity")).first()[0]
