@@ -1 +1 @@
-"""DataFrame to DataFrame operators. None of them reads, writes or starts a job."""
+"""DataFrame to DataFrame operators. None reads or writes, and none but model fitting starts a job."""
