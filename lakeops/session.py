@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -31,16 +32,21 @@ def local_session(cpus: int | str = "*", memory: str = "20g", **config: str) ->
     return spark
 
 
+_own: dict[str, str] = {}
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh path below the folder the cluster shares through ``spark.checkpoint.dir``.
 
-    Only a local master may fall back to a temporary folder of the machine: on a cluster the
-    executors would not see it.
+    Only a local master may do without: it gets one temporary folder for the process. On a cluster
+    the executors would not see that. The session's settings stay as they are.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        if not spark.conf.get("spark.master", "").startswith("local"):
+        master = spark.sparkContext.master
+        if not re.fullmatch(r"local(\[.*\])?", master):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        base = tempfile.mkdtemp(prefix="lakeops-")
-        spark.conf.set("spark.checkpoint.dir", base)
+        if master not in _own:
+            _own[master] = tempfile.mkdtemp(prefix="lakeops-")
+        base = _own[master]
     return f"{base.rstrip('/')}/lakeops/{label}-{uuid.uuid4().hex}"
