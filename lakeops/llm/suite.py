@@ -29,7 +29,7 @@ _SIDE = """
       THEN 0.6e0 * coalesce(b.{c}, 0) / h.{c} + 0.3e0 * u.{c} / {n} ELSE 0.9e0 * u.{c} / {n} END + 0.1e0 / v) END"""
 LM_SQL = f"""
 WITH split AS (
-  SELECT doc_id, list_filter(string_split_regex(lower(coalesce(text, '')), '[ \\t-\\r]+'), x -> x <> '') AS ws,
+  SELECT doc_id, list_filter(string_split_regex(lower(coalesce(text, '')), '[ \\t-\\r]+'), lambda x: x <> '') AS ws,
     doc_id IN (SELECT doc_id FROM labels WHERE quality = 1) AS chosen
   FROM documents),
 tokens AS (

@@ -23,10 +23,10 @@ WORD = re.compile(r"\w+")
 MAX_TRAIN = 20_000
 MAX_FEATURES = 4_096
 #: A word is weighed if it is in so many sampled texts and its log odds are so many deviations from even.
-MIN_DOCS = 5
-MIN_Z = 3.0
+MIN_DOCS = 3
+MIN_Z = 2.5
 #: Deviations from which a word counts as a mark of toxic text when grades are made from 0/1 labels.
-MARK_Z = 4.0
+MARK_Z = 3.0
 GRADES = 3
 
 

@@ -1,0 +1,88 @@
+import importlib
+
+import pytest
+from check import differences
+from conftest import SF
+from pyspark.sql import functions as F
+from test_llm_simhash import plain_fingerprint, plain_groups
+from test_llm_spans import plain_result
+from test_llm_tiling import plain_pairs
+
+import __spark_entry__ as entry
+import corpus_pipeline
+from lakeops.llm import toxicity
+from lakeops.llm.common import table
+from lakeops.llm.suite import LLM
+
+SMALL = "/root/testdata/sf0.001"
+
+
+@pytest.mark.parametrize("name", sorted(n for n, q in LLM.items() if q.sql))
+def test_matches_sql(spark, con, name):
+    assert differences(LLM[name].run(spark, SF), con, LLM[name].sql) is None
+
+
+@pytest.mark.parametrize("name", sorted(n for n, q in LLM.items() if not q.sql))
+def test_gives_a_row_for_each_input(spark, name):
+    df = LLM[name].run(spark, SF)
+    whole = {"op3": 1000, "op5": 1000, "op6": 50, "op7": 1000, "op8": 250, "op10": 1000}.get(name.split("_")[0])
+    assert df.count() == whole if whole else df.count() > 0
+
+
+def test_all_are_registered():
+    names = list(entry.queries())
+    assert "pipeline" in names
+    for n in range(1, 11):
+        assert sum(x.startswith(f"op{n}_") for x in names) == 1
+    importlib.reload(entry)
+
+
+def test_stages_against_brute_force(spark):
+    docs = table(spark, SMALL, "documents").where("doc_id < 120").cache()
+    model = toxicity.train(docs, table(spark, SMALL, "labels"))
+    left = {r.doc_id: r.text for r in docs.collect()}
+    toxic = {r.doc_id for r in toxicity.severity(docs, model).collect() if r.p_toxic >= 0.5}
+    assert toxic
+    kept = []
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        docs = stage(spark, docs, SMALL).cache()
+        assert docs.columns == list(corpus_pipeline.COLUMNS)
+        kept.append({r.doc_id: r.text for r in docs.collect()})
+        assert docs.count() == len(kept[-1])
+    left = {d: t for d, t in left.items() if d not in toxic}
+    assert kept[0] == left
+    ids = sorted(left)
+    groups = plain_groups([plain_fingerprint(left[d]) for d in ids], 4)
+    left = {d: left[d] for k, d in enumerate(ids) if groups[k] == k}
+    assert kept[1] == left
+    left = plain_result(left)
+    assert kept[2] == left
+    items = {r.item_id: r.text for r in table(spark, SMALL, "benchmark").collect()}
+    leaks = {d for d, _ in plain_pairs(left, items)}
+    left = {d: t for d, t in left.items() if d not in leaks}
+    assert kept[3] == left
+    packed = corpus_pipeline.pack(spark, docs, SMALL)
+    words = {r.doc_id: r.n for r in packed.groupBy("doc_id").agg(F.sum("n_words").alias("n")).collect()}
+    assert words == {d: len(t.split()) for d, t in left.items()}
+
+
+def test_labels_agree_with_the_toxicity_stage(spark):
+    docs, labels = table(spark, SF, "documents"), table(spark, SF, "labels")
+    kept = corpus_pipeline.drop_toxic(spark, docs, SF).select("doc_id", F.lit(1).alias("kept"))
+    english = labels.join(docs.where("lang = 'en'").select("doc_id"), "doc_id", "left_semi")
+    wrong = english.join(kept, "doc_id", "left").where("(toxic = 1) = (kept is not null)").count()
+    assert wrong <= 0.02 * english.count()
+    assert labels.where("toxic = 0").join(kept, "doc_id", "left_anti").count() == 0
+
+
+def test_stages_bear_odd_rows(spark, tmp_path):
+    kind = "doc_id long, text string, lang string, source string, n_chars long"
+    passage = "one two three four five six seven eight nine ten. " * 6
+    odd = [(1, None, None, None, None), (2, "", "en", "a", 0), (3, passage, "en", None, 9), (3, passage, "en", None, 9), (None, passage, "en", "a", 1), (None, None, None, None, None)]
+    for rows in (odd, []):
+        folder = tmp_path / f"n{len(rows)}"
+        spark.createDataFrame(rows, kind).withColumn("first", F.lit(1)).write.parquet(str(folder / "documents.parquet"))
+        spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(str(folder / "labels.parquet"))
+        spark.createDataFrame([(1, None)], "item_id long, text string").write.parquet(str(folder / "benchmark.parquet"))
+        out = corpus_pipeline.run(spark, str(folder)).collect()
+        assert sorted(str(r.doc_id) for r in out) == (["1", "3", "None", "None"] if rows else [])

@@ -1,0 +1,83 @@
+import random
+import zlib
+
+import numpy as np
+import public_tokenizers
+import pytest
+from llm_cases import documents, prose
+from tokenizers import Tokenizer
+
+from lakeops.llm import tokenids
+from lakeops.llm.common import table
+
+WORDS = public_tokenizers.path("word_bpe_49k.json")
+BYTES = public_tokenizers.path("byte_bpe_50k.json")
+ODD = [
+    "", " ", "\n\t", "Ab'll don't'VE '' 's'", "x<|endoftext|>y", "<|startoftext|>", "ΣΑΣ Οδός", "İstanbul ı", "é é ½ ²3", "日本語 text",
+    "a b c\u0085d\x1ce", "“quoted” – dash… €5", "ﬁne ſtrong", "🙂👍🏽 ok", "a\x00b", "Straße ÄÖÜ ẞ", "!!!'s??", "12345 6,7.8", "ǅ ǆ Ǳ",
+]
+
+
+@pytest.mark.parametrize("path", [WORDS, BYTES])
+def test_ids_are_the_librarys(spark, path):
+    library, own = Tokenizer.from_file(path), tokenids.Encoder(path)
+    texts = [r.text for r in table(spark, "/root/testdata/sf0.001", "documents").collect()] + ODD + [prose(1, 3000)]
+    for text in texts + texts[:20]:
+        assert own.encode(text) == library.encode(text, add_special_tokens=False).ids, text[:80]
+    assert own.by_piece == (path == WORDS)
+
+
+def test_plain_characters_all_agree():
+    library, own = Tokenizer.from_file(WORDS), tokenids.Encoder(WORDS)
+    for point in [*range(0, 0x2100), *range(0x2200, 0xD800, 97)]:
+        for text in (f"a{chr(point)}b", f"1{chr(point)}{chr(point)}'s"):
+            assert own.encode(text) == library.encode(text, add_special_tokens=False).ids, hex(point)
+
+
+@pytest.mark.parametrize("seed", range(10))
+def test_compression_round_trip_and_random_access(seed):
+    rng = random.Random(seed)
+    base = rng.choice([300, 49_408, 100_000])
+    ids = [rng.randrange(base) if rng.random() < 0.05 else rng.randrange(5) for _ in range(rng.choice([1, 2, 50, 5000]))]
+    ids += [7, 7, 7, 7, 7] * 9 if seed % 2 else []
+    rules, symbols = tokenids.compress(np.array(ids, np.uint32), base, 4)
+    lengths = tokenids.expansions(rules, base)
+    shard = tokenids.Shard(base, rules.astype("<u4").tobytes(), lengths.astype("<i8").tobytes(), symbols.astype("<u4").tobytes())
+    assert shard.ids(0, len(ids)).tolist() == ids
+    for _ in range(30):
+        a, b = sorted(rng.randrange(len(ids) + 1) for _ in range(2))
+        assert shard.ids(a, b).tolist() == ids[a:b]
+    pairs = list(zip(symbols.tolist(), symbols.tolist()[1:]))
+    assert len(ids) < 1000 or len(symbols) < len(ids) / 2 and max(pairs.count(p) for p in set(pairs)) < 8
+
+
+def plain(texts: dict) -> list[tuple]:
+    library, at, out = Tokenizer.from_file(WORDS), 0, []
+    for d in sorted(texts):
+        ids = [*library.encode(texts[d] or "", add_special_tokens=False).ids, 2]
+        out.append((d, at, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
+        at += len(ids)
+    return out
+
+
+@pytest.mark.parametrize("shard_ids", [500, 1 << 20])
+def test_files_hold_all_ids_in_order(spark, tmp_path, shard_ids):
+    docs = table(spark, "/root/testdata/sf0.001", "documents")
+    path = str(tmp_path / "ids")
+    tokenids.write(docs.repartition(5), path, WORDS, shard_ids=shard_ids)
+    stored = tokenids.shards(spark, path)
+    assert stored.count() > (20 if shard_ids == 500 else 0)
+    got = sorted(map(tuple, tokenids.digests(stored).collect()))
+    assert got == plain({r.doc_id: r.text for r in docs.collect()})
+    some = {r.doc_id: r.ids for r in tokenids.decoded(stored).collect()}
+    assert [zlib.crc32(np.array(some[d], "<u4").tobytes()) for d, *_ in got] == [r[3] for r in got]
+
+
+def test_nulls_repeats_and_empty_tables(spark, tmp_path):
+    docs = documents(spark, [None, "", prose(2, 40_000), "one two", "one two", "none"], ids=[4, 2, 9, 3, 3, None])
+    tokenids.write(docs, str(tmp_path / "a"), WORDS)
+    got = sorted((r.start, r.doc_id, r.n_tokens) for r in tokenids.digests(tokenids.shards(spark, str(tmp_path / "a"))).collect())
+    assert [r[1] for r in got] == [None, 2, 3, 3, 4, 9] and got[0][0] == 0
+    assert all(b[0] == a[0] + a[2] for a, b in zip(got, got[1:]))
+    tokenids.write(documents(spark, []), str(tmp_path / "b"), WORDS)
+    assert tokenids.digests(tokenids.shards(spark, str(tmp_path / "b"))).count() == 0
