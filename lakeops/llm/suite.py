@@ -67,7 +67,7 @@ def op3_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Place, number and checksum of every document's ids, read back from the compressed shards."""
     path = scratch_path(spark, "token-shards")
     tokenids.write(table(spark, sf_dir, "documents"), path, public_tokenizers.path("word_bpe_49k.json"))
-    return tokenids.digests(tokenids.shards(spark, path))
+    return tokenids.digests(tokenids.stored(spark, path))
 
 
 @query()

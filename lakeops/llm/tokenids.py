@@ -13,6 +13,7 @@ import json
 import re
 import unicodedata
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,38 +29,45 @@ from lakeops.llm.common import inputs, slices
 END_ID = 2
 SHARD_IDS = 1 << 20
 #: A pair is replaced while it occurs so often; a rule takes 12 bytes of a shard.
-MIN_PAIRS = 16
-#: Pieces a worker remembers; others are encoded each time.
-REMEMBERED = 400_000
+MIN_PAIRS = 32
+#: Runs a worker remembers; others are encoded each time.
+REMEMBERED = 800_000
 # Characters on which all regex and case-folding versions agree; other texts take the library's whole way.
 _PLAIN = re.compile("[\t\n\r\x20-\x7e\xa1-įı-ɏ‐-‧€]*")
 _NORMALIZERS = ["NFC", "Replace", "Lowercase"]
+# Byte-level vocabularies write a byte as itself if it is a visible Latin-1 character, else as one from U+0100 on.
+_VISIBLE = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+_OTHERS = {b: 0x100 + k for k, b in enumerate(b for b in range(0x100) if b not in _VISIBLE)}
+_ALPHABET = [chr(_OTHERS.get(b, b)) for b in range(0x100)]
 _encoders: dict[str, Encoder] = {}
 
 
 class Encoder:
     """Ids of whole texts, exactly as the tokenizers library gives them.
 
-    A vocabulary whose pre-tokenizer cuts the text by a pattern encodes each piece on its own, so a
-    piece that was seen before need not be encoded again. Texts with special tokens or with
-    characters beyond the plain ones, and all texts of other vocabularies, are encoded whole.
+    A vocabulary whose pre-tokenizer cuts the text by a pattern that never spans white space gives each
+    run between white space the same ids wherever it stands. Such a run is given to the library's
+    model once and remembered. Texts with special tokens or with characters beyond the plain ones, and
+    all texts of other vocabularies, are encoded whole.
     """
 
     def __init__(self, path: str) -> None:
         self.library = Tokenizer.from_file(path)
-        self.known: dict[str, list[int]] = {}
+        self.model = self.library.model
+        self.known: dict[str, bytes] = {}
         with open(path, encoding="utf-8") as file:
             config = json.load(file)
         steps = (config.get("normalizer") or {}).get("normalizers", [])
         cuts = (config.get("pre_tokenizer") or {}).get("pretokenizers", [])
-        self.by_piece = (
+        self.by_run = (
             [s["type"] for s in steps] == _NORMALIZERS
             and (steps[1]["pattern"], steps[1]["content"]) == ({"Regex": r"\s+"}, " ")
             and [c["type"] for c in cuts] == ["Split", "ByteLevel"]
             and (cuts[0]["behavior"], cuts[0]["invert"], cuts[1]["use_regex"]) == ("Removed", True, False)
             and not cuts[1]["add_prefix_space"]
+            and config["model"]["type"] == "BPE"
         )
-        self.pattern = regex.compile(cuts[0]["pattern"]["Regex"]) if self.by_piece else None
+        self.pattern = regex.compile(cuts[0]["pattern"]["Regex"]) if self.by_run else None
         self.special = tuple(t["content"] for t in config.get("added_tokens") or ())
 
     @classmethod
@@ -69,29 +77,35 @@ class Encoder:
             _encoders[path] = cls(path)
         return _encoders[path]
 
-    def encode(self, text: str) -> list[int]:
-        if not self.by_piece or not _PLAIN.fullmatch(text) or any(s in text for s in self.special):
-            return self.library.encode(text, add_special_tokens=False).ids
-        parts = self.pattern.findall(unicodedata.normalize("NFC", text).lower())
+    def encode(self, text: str) -> np.ndarray:
+        if not self.by_run or not _PLAIN.fullmatch(text) or any(s in text for s in self.special):
+            return np.array(self.library.encode(text, add_special_tokens=False).ids, np.uint32)
+        runs = unicodedata.normalize("NFC", text).lower().split()
         known = self.known
-        missing = list({p for p in parts if p not in known})
-        extra = {}
-        if missing:
-            encoded = self.library.encode_batch(missing, add_special_tokens=False)
-            extra = dict(zip(missing, (e.ids for e in encoded)))
+        try:
+            return np.frombuffer(b"".join(map(known.__getitem__, runs)), np.uint32)
+        except KeyError:
+            found = {r: self._ids(r) for r in set(runs) if r not in known}
             if len(known) < REMEMBERED:
-                known.update(extra)
-                extra = {}
-        out: list[int] = []
-        for p in parts:
-            out += known[p] if p in known else extra[p]
+                known.update(found)
+            return np.frombuffer(b"".join([known[r] if r in known else found[r] for r in runs]), np.uint32)
+
+    def _ids(self, run: str) -> bytes:
+        """Ids of a normalised run: its pieces, byte by byte in the model's alphabet."""
+        known, out = self.known, b""
+        for piece in [run] if run.isalpha() else self.pattern.findall(run):
+            if piece in known:
+                out += known[piece]
+            else:
+                spelled = piece if piece.isascii() else "".join([_ALPHABET[b] for b in piece.encode()])
+                out += array("I", [t.id for t in self.model.tokenize(spelled)]).tobytes()
         return out
 
 
 def compress(ids: np.ndarray, base: int, min_pairs: int = MIN_PAIRS) -> tuple[np.ndarray, np.ndarray]:
     """(rules, symbols): rule k is the pair that symbol ``base + k`` stands for.
 
-    Each round counts all pairs and replaces those that occur at least a quarter as often as the most
+    Each round counts all pairs and replaces those that occur at least an eighth as often as the most
     frequent one. Where chosen pairs overlap, every other one from the left is replaced.
     """
     symbols, rules, top = ids.astype(np.uint32), [], base
@@ -102,7 +116,7 @@ def compress(ids: np.ndarray, base: int, min_pairs: int = MIN_PAIRS) -> tuple[np
         ranked = np.sort(keys)
         starts = np.flatnonzero(np.r_[True, ranked[1:] != ranked[:-1]])
         counts = np.diff(np.r_[starts, len(ranked)])
-        often = counts >= max(min_pairs, int(counts.max()) // 4)
+        often = counts >= max(min_pairs, int(counts.max()) // 8)
         chosen = ranked[starts[often]]
         if not len(chosen):
             break
@@ -215,7 +229,7 @@ def write(
 
         for batch in slices(batches):
             for k, text in enumerate(batch.column("text").to_pylist()):
-                ids.append(np.array([*encoder.encode(text or ""), end_id], np.uint32))
+                ids.append(np.append(encoder.encode(text or ""), np.uint32(end_id)))
                 names.append(batch.column("doc_id").slice(k, 1))
                 held += len(ids[-1])
                 if held >= shard_ids:
@@ -231,43 +245,55 @@ def write(
 SHARD_COLUMNS = ["part", "number", "n_ids", "base", "doc_ids", "ends", "rules", "lengths", "symbols"]
 
 
-def shards(spark: SparkSession, path: str) -> DataFrame:
-    """The stored shards with ``before``: the ids of all shards before each."""
-    rows = spark.read.parquet(path)
-    sizes = rows.select("part", "number", "n_ids")
+def stored(spark: SparkSession, path: str) -> DataFrame:
+    """The stored shards, one row each."""
+    return spark.read.parquet(path)
+
+
+def offsets(shards: DataFrame) -> DataFrame:
+    """``part, number, before``: the ids of all shards before each. Sizes of a part's shards add up
+    within the part, those of the parts over the parts."""
+    sizes = shards.select("part", "number", "n_ids")
     parts = sizes.groupBy("part").agg(F.sum("n_ids").alias("size"))
     earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     parts = parts.select("part", F.coalesce(F.sum("size").over(earlier), F.lit(0)).alias("outside"))
     within = Window.partitionBy("part").orderBy("number").rowsBetween(Window.unboundedPreceding, -1)
     inside = F.coalesce(F.sum("n_ids").over(within), F.lit(0))
     places = sizes.withColumn("inside", inside).join(parts, "part")
-    return rows.join(places.select("part", "number", (F.col("inside") + F.col("outside")).alias("before")), ["part", "number"])
+    return places.select("part", "number", (F.col("inside") + F.col("outside")).alias("before"))
 
 
-def digests(stored: DataFrame) -> DataFrame:
+def digests(shards: DataFrame) -> DataFrame:
     """``doc_id, start, n_tokens, ids_crc32`` of every document, from the stored shards.
 
     ``start``: ids of all documents before it; ``ids_crc32``: unsigned CRC-32 of its ids as little-endian
-    unsigned 32-bit integers.
+    unsigned 32-bit integers. Shards are decoded where they are read; only the digests meet the offsets.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, 1):
-            row = {c: batch.column(c)[0].as_py() for c in ("base", "ends", "rules", "lengths", "symbols", "before")}
+            row = {c: batch.column(c)[0].as_py() for c in ("base", "ends", "rules", "lengths", "symbols")}
             ids = Shard(row["base"], row["rules"], row["lengths"], row["symbols"]).ids(0, row["ends"][-1]).astype("<u4")
             ends = np.array(row["ends"], np.int64)
             starts = np.r_[0, ends[:-1]]
-            sums = [zlib.crc32(ids[a:b].tobytes()) for a, b in zip(starts.tolist(), ends.tolist())]
+            sums = [zlib.crc32(ids[a:b]) for a, b in zip(starts.tolist(), ends.tolist())]
+            same = pa.array(np.zeros(len(ends), np.int64))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_ids").flatten(), *map(pa.array, (starts + row["before"], ends - starts, np.array(sums, np.int64)))],
-                ["doc_id", "start", "n_tokens", "ids_crc32"],
-            )
+                [
+                    batch.column("part").take(same), batch.column("number").take(same), batch.column("doc_ids").flatten(),
+                    *map(pa.array, (starts, ends - starts, np.array(sums, np.int64))),
+                ],
+                ["part", "number", "doc_id", "within", "n_tokens", "ids_crc32"],
+            )
 
-    kind = stored.schema["doc_ids"].dataType.elementType.simpleString()
-    return stored.mapInArrow(run, f"doc_id {kind}, start long, n_tokens long, ids_crc32 long")
+    kind = shards.schema["doc_ids"].dataType.elementType.simpleString()
+    each = shards.mapInArrow(run, f"part int, number int, doc_id {kind}, within long, n_tokens long, ids_crc32 long")
+    return each.join(offsets(shards), ["part", "number"]).select(
+        "doc_id", (F.col("before") + F.col("within")).alias("start"), "n_tokens", "ids_crc32"
+    )
 
 
-def decoded(stored: DataFrame) -> DataFrame:
+def decoded(shards: DataFrame) -> DataFrame:
     """``doc_id, ids``: each document's ids, decoded alone by random access."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -281,5 +307,5 @@ def decoded(stored: DataFrame) -> DataFrame:
                     ["doc_id", "ids"],
                 )
 
-    kind = stored.schema["doc_ids"].dataType.elementType.simpleString()
-    return stored.mapInArrow(run, f"doc_id {kind}, ids array<long>")
+    kind = shards.schema["doc_ids"].dataType.elementType.simpleString()
+    return shards.mapInArrow(run, f"doc_id {kind}, ids array<long>")
