@@ -1,6 +1,7 @@
 import math
 from collections import Counter
 
+import numpy as np
 import pytest
 from llm_cases import documents, prose
 from pyspark.sql import functions as F
@@ -36,11 +37,20 @@ def scored(df) -> dict:
     return {r.doc_id: r for r in df.collect()}
 
 
-@pytest.mark.parametrize("batch_chars", [20_000, 24_000_000])
-def test_against_plain_counting(spark, batch_chars):
+def test_blocks_hold_what_was_packed():
+    rng = np.random.default_rng(1)
+    for n in (0, 1, 5000):
+        key = np.sort(rng.integers(0, 1 << 56, n, dtype=np.uint64))
+        counts = [rng.integers(0, 2**32, n), rng.integers(0, 3, n)]
+        got = lmscore.unpack(lmscore.pack(key, *counts), 2)
+        assert [x.tolist() for x in got] == [key.tolist(), *(c.tolist() for c in counts)]
+
+
+@pytest.mark.parametrize("batch_chars, range_chars", [(20_000, 50_000), (20_000, 10**9), (24_000_000, 10_000)])
+def test_against_plain_counting(spark, batch_chars, range_chars):
     docs = table(spark, "/root/testdata/sf0.001", "documents")
     chosen = docs.where("doc_id % 3 = 0").select("doc_id")
-    got = scored(lmscore.cross_entropy_difference(docs, chosen, batch_chars=batch_chars))
+    got = scored(lmscore.cross_entropy_difference(docs, chosen, batch_chars=batch_chars, range_chars=range_chars))
     want = plain({r.doc_id: r.text for r in docs.collect()}, {r.doc_id for r in chosen.collect()})
     assert got.keys() == want.keys()
     for d, (target, background) in want.items():
