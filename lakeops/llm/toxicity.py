@@ -13,6 +13,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -50,7 +51,8 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRA
     """``doc_id, toxic, counts`` of at most ``max_train`` labelled documents, chosen by a hash of the id.
 
     Rows with a null id or label are left out; a null text counts as empty. The sample is what is
-    broadcast, so its bound is the broadcast's bound. Several labels of one id: toxic if any is.
+    broadcast, so its bound is the broadcast's bound. Several labels of one id: toxic if any is; of several
+    rows of one id, one is taken.
     """
     marks = (
         inputs(labels, doc_id="doc_id", toxic="toxic").dropna()
@@ -70,7 +72,8 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRA
 
     rows = inputs(docs, doc_id="doc_id", text="text").join(F.broadcast(marks), "doc_id")
     kind = rows.schema["doc_id"].dataType.simpleString()
-    return rows.select("doc_id", "toxic", "text").mapInArrow(run, f"doc_id {kind}, toxic int, counts map<string,int>")
+    counted = rows.select("doc_id", "toxic", "text").mapInArrow(run, f"doc_id {kind}, toxic int, counts map<string,int>")
+    return counted.dropDuplicates(["doc_id"])
 
 
 def word_odds(sample: DataFrame, positive: str, min_docs: int = MIN_DOCS) -> DataFrame:
@@ -98,35 +101,40 @@ def graded(sample: DataFrame, grades: int = GRADES, max_features: int = MAX_FEAT
     The labels are 0/1, so the grades of toxic rows are made: cut at equal shares by how many words
     the text holds that mark toxic text.
     """
-    marks = word_odds(sample, "toxic = 1").where(F.col("z") >= MARK_Z).orderBy(F.desc("z"), "word").limit(max_features)
-    marking = F.lit([r.word for r in marks.collect()] or [""])
-    hits = F.aggregate(
-        F.map_entries("counts"), F.lit(0), lambda s, e: s + F.when(F.array_contains(marking, e["key"]), e["value"]).otherwise(0)
-    )
-    rows = sample.withColumn("hits", hits)
+    marks = _first_words(word_odds(sample, "toxic = 1").where(F.col("z") >= MARK_Z), max_features)
+    hits = _counts_of(sample, marks).groupBy("doc_id").agg(F.sum("n").alias("hits"))
+    rows = sample.join(hits, "doc_id", "left").withColumn("hits", F.coalesce("hits", F.lit(0)))
     shares = [k / grades for k in range(1, grades)]
     cuts = rows.where("toxic = 1").agg(F.percentile_approx("hits", shares, 10_000).alias("c")).first().c or []
     above = sum((F.col("hits") > c).cast("int") for c in cuts) if cuts else F.lit(0)
     return rows.select("doc_id", "toxic", "counts", F.when(F.col("toxic") == 1, above + 1).otherwise(0).alias("grade"))
 
 
+def _first_words(odds: DataFrame, most: int) -> list[str]:
+    """The ``most`` words with the largest odds, ties in order of the words."""
+    return [r.word for r in odds.orderBy(F.desc(F.abs("z")), "word").limit(most).collect()]
+
+
+def _counts_of(sample: DataFrame, chosen: list[str]) -> DataFrame:
+    """``doc_id, at, n``: place in ``chosen`` and count of each chosen word a text holds."""
+    words = sample.sparkSession.createDataFrame(list(enumerate(chosen)), "at int, word string")
+    counts = sample.select("doc_id", F.explode("counts").alias("word", "n"))
+    return counts.join(F.broadcast(words), "word").select("doc_id", "at", "n")  # MAX_FEATURES words at most
+
+
 def fit(sample: DataFrame, grades: int = GRADES, max_features: int = MAX_FEATURES, l2: float = 1e-3, steps: int = 400) -> OrdinalModel:
     """Fit on ``counts, grade``. The driver gets the chosen words of the bounded sample only.
 
     Without rows of some grade above 0, every probability of it is 0.
     """
-    chosen = (
-        word_odds(sample, "grade > 0").where(F.abs("z") >= MIN_Z)
-        .orderBy(F.desc(F.abs("z")), "word").limit(max_features).collect()
-    )
-    vocabulary = [r.word for r in chosen]
-    known = F.map_filter("counts", lambda w, _: F.array_contains(F.lit(vocabulary or [""]), w))
-    rows = sample.select("grade", known.alias("x"), "doc_id").orderBy("doc_id").select("grade", "x").collect()
-    at = {w: k for k, w in enumerate(vocabulary)}
-    grade = np.array([r.grade for r in rows], np.int64)
-    row = np.array([k for k, r in enumerate(rows) for w in r.x if w in at], np.int64)
-    col = np.array([at[w] for r in rows for w in r.x if w in at], np.int64)
-    val = np.log1p(np.array([r.x[w] for r in rows for w in r.x if w in at], np.float64))
+    vocabulary = _first_words(word_odds(sample, "grade > 0").where(F.abs("z") >= MIN_Z), max_features)
+    rows = sample.select("doc_id", "grade").orderBy("doc_id").toArrow()
+    found = _counts_of(sample, vocabulary).toArrow()
+    grade = rows.column("grade").to_numpy().astype(np.int64)
+    row = pc.index_in(found.column("doc_id"), value_set=rows.column("doc_id").combine_chunks()).to_numpy().astype(np.int64)
+    col = found.column("at").to_numpy().astype(np.int64)
+    order = np.lexsort((col, row))
+    row, col, val = row[order], col[order], np.log1p(found.column("n").to_numpy()[order].astype(np.float64))
     weights, thresholds = descend(grade, row, col, val, len(vocabulary), grades, l2, steps)
     return OrdinalModel(tuple(vocabulary), tuple(weights.tolist()), tuple(thresholds.tolist()))
 
