@@ -16,6 +16,9 @@ def read_csv(
     column. Contract columns the file lacks are null; columns the contract lacks are dropped
     (``contract_diff`` reports both). Compression follows the file ending.
 
+    The files of one folder must have one header: where a file names other columns at some place,
+    reading it is an error, never a value in the wrong column.
+
     Quoted texts may hold line breaks, hence ``multi_line``. With it a file is one task: turn it
     off for feeds known to have no breaks, so that large plain files are split.
     """
@@ -23,6 +26,7 @@ def read_csv(
         spark.read.option("header", "true")
         .option("quote", '"')
         .option("escape", '"')
+        .option("enforceSchema", "false")
         .option("multiLine", str(multi_line).lower())
         .csv(path)
     )

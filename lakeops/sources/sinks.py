@@ -38,10 +38,28 @@ def ensure_table(spark: SparkSession, name: str, schema: StructType, fmt: str =
         spark.catalog.createTable(name, source=fmt, schema=schema)
 
 
+def _in_table_order(df: DataFrame, target: StructType) -> DataFrame:
+    """The table's columns in the table's order, as ``insertInto`` goes by position; lacking ones are null."""
+    given = set(df.columns)
+    return df.select(
+        *[
+            (F.col(f"`{f.name}`") if f.name in given else F.lit(None)).cast(f.dataType).alias(f.name)
+            for f in target.fields
+        ]
+    )
+
+
 def append(df: DataFrame, name: str, contract: StructType | None = None) -> None:
-    """Append by column name, against the contract if given, else against the table itself."""
-    target = contract or df.sparkSession.table(name).schema
-    conform(df, target).write.insertInto(name)
+    """Append by column name, against the contract if given, else against the table itself.
+
+    The order of the contract's columns does not matter. A table may hold more columns than its
+    contract (they become null), but not fewer.
+    """
+    target = df.sparkSession.table(name).schema
+    df = conform(df, contract or target)
+    if unknown := sorted(set(df.columns) - set(target.names)):
+        raise ValueError(f"{name} lacks the columns {unknown} of the contract")
+    _in_table_order(df, target).write.insertInto(name)
 
 
 def append_evolving(df: DataFrame, name: str, fmt: str = "parquet") -> None:
@@ -55,14 +73,7 @@ def append_evolving(df: DataFrame, name: str, fmt: str = "parquet") -> None:
     if new:
         listed = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in new)
         spark.sql(f"ALTER TABLE {name} ADD COLUMNS ({listed})")
-    target = spark.table(name).schema
-    given = set(df.columns)
-    columns = [
-        (F.col(f"`{f.name}`").cast(f.dataType) if f.name in given else F.lit(None).cast(f.dataType))
-        .alias(f.name)
-        for f in target.fields
-    ]
-    df.select(*columns).write.insertInto(name)
+    _in_table_order(df, spark.table(name).schema).write.insertInto(name)
 
 
 def append_files(df: DataFrame, path: str) -> None:

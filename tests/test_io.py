@@ -4,7 +4,7 @@ import json
 
 import pytest
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from lakeops.operators.keys import STAR_FOREIGN
 from lakeops.params import Params, city_prefix
@@ -145,9 +145,10 @@ def test_views(spark):
 def test_params_and_prefixes():
     p = Params("main", "gold", " Stock, ,Berlin ")
     assert p.cities == ["Stock", "Berlin"] and p.city_table("Stock", "listing") == "main.gold.stock_listing"
-    assert city_prefix("stockholm") == "stock"
+    assert city_prefix("stockholm") == "stock" and city_prefix("Stock") == "stock"
+    assert city_prefix(" Athens") == "athens" and Params().city_table("Athens", "calendar") == "gold.athens_calendar"
     with pytest.raises(ValueError):
-        city_prefix("Athens")
+        city_prefix("no such; table")
 
 
 def test_scratch_follows_the_cluster_setting(spark):
@@ -183,8 +184,15 @@ def test_star_layers(spark, databases):
     assert log.count() == 14 and {r.status for r in log.collect()} == {"OK"}
     primary, foreign = star.check_keys(spark, db["silver"])
     assert primary.agg(F.sum(F.expr("null_rows + duplicate_keys"))).first()[0] == 0
-    assert foreign.count() == len(STAR_FOREIGN) - 2
+    assert foreign.count() == len(STAR_FOREIGN)
+    assert {(r.child, r.key_column) for r in foreign.where("orphan_rows is null").collect()} == {
+        ("partsupp", "ps_partkey"), ("partsupp", "ps_suppkey")
+    }
     assert foreign.agg(F.sum("orphan_rows")).first()[0] == 0
+    spark.sql(f"DROP TABLE {db['silver']}.region")
+    star.log_counts(spark, db["bronze"], db["silver"], db["monitoring"], AT)
+    late = spark.table(f"{db['monitoring']}.data_quality_log").where("status <> 'OK'").collect()
+    assert [(r.table_name, r.status, r.silver_count, r["diff"]) for r in late] == [("region", "MISSING", None, None)]
 
 
 def test_city_layers_and_report(spark, databases):
@@ -220,8 +228,60 @@ def test_city_layers_and_report(spark, databases):
         assert spark.table(f"{db['monitoring']}.{name}").count() == df.count(), name
     assert report["recommendations"].count() == 0
     primary, foreign = city.check_keys(spark, [db["silver"], db["gold"]], ["berlin", "stock"])
-    assert primary.count() == 8 and primary.agg(F.sum("duplicate_keys")).first()[0] == 0
-    assert {r.child for r in foreign.collect()} == {"berlin_calendar", "stock_calendar", "berlin_reviews", "stock_review"}
+    assert primary.where("null_rows is not null").count() == 8 and primary.agg(F.sum("duplicate_keys")).first()[0] == 0
+    seen = foreign.where("orphan_rows is not null")
+    assert {r.child for r in seen.collect()} == {"berlin_calendar", "stock_calendar", "berlin_reviews", "stock_review"}
+    assert foreign.count() == 16 and foreign.where("child = 'stock_reviews' and orphan_rows is null").count() == 2
+    none = city.check_keys(spark, [db["src"] + "_no"], ["berlin"])
+    assert none[0].where("null_rows is null").count() == 3
+
+
+def test_report_without_a_calendar(spark, schema):
+    from conftest import SF
+
+    from lakeops.suite import standins
+
+    mine = standins.listings(spark, SF).where("city = 'Berlin'").drop("city")
+    sinks.write_table(mine, f"{schema}.athens_listing")
+    sinks.write_table(mine, f"{schema}.athens_detailed_listing")
+    params = Params(schema=schema, cities_csv="Athens,Berlin")
+    report = city.city_report(spark, params)
+    assert set(report) == {"price_hist", "rating_hist", "city_metrics", "neighbourhood_metrics", "room_share", "datasets", "missing"}
+    assert [r.city for r in report["city_metrics"].collect()] == ["Athens"]
+    assert {r.dataset for r in report["datasets"].collect()} == {"listing", "detailed_listing"}
+    assert city.city_report(spark, Params(schema=schema, cities_csv="Nowhere")) == {}
+
+
+def test_append_goes_by_name_whatever_the_order(spark, schema):
+    contract = StructType([StructField("city", StringType()), StructField("name", StringType())])
+    name = f"{schema}.people"
+    sinks.write_table(spark.createDataFrame([("n1", "c1")], "name string, city string"), name)
+    row = spark.createDataFrame([("c2", "n2")], "city string, name string")
+    sinks.append(row, name, contract)
+    sinks.append(row, name)
+    assert sorted((r.name, r.city) for r in spark.table(name).collect()) == [("n1", "c1"), ("n2", "c2"), ("n2", "c2")]
+    spark.sql(f"ALTER TABLE {name} ADD COLUMNS (age int)")
+    sinks.append(row, name, contract)
+    assert spark.table(name).where("name = 'n2' and city = 'c2' and age is null").count() == 3
+    parts = f"{schema}.parts"
+    sinks.write_table(spark.createDataFrame([("x", "y")], "a string, b string"), parts, partition_by=["a"])
+    sinks.append(spark.createDataFrame([("x2", "y2")], "a string, b string"), parts)
+    assert sorted((r.a, r.b) for r in spark.table(parts).collect()) == [("x", "y"), ("x2", "y2")]
+    with pytest.raises(ValueError):
+        sinks.append(row.withColumn("zip", F.lit(1)), name, contract)
+    with pytest.raises(ValueError):
+        sinks.append(row.withColumn("zip", F.lit("1")), name, StructType([*contract.fields, StructField("zip", StringType())]))
+
+
+@pytest.mark.parametrize("multi_line", [True, False])
+def test_csv_files_with_other_headers_are_refused(spark, tmp_path, multi_line):
+    contract = StructType([StructField("name", StringType()), StructField("city", StringType())])
+    (tmp_path / "a.csv").write_text("name,city\nn1,c1\n")
+    got = files.read_csv(spark, str(tmp_path), contract, multi_line).collect()
+    assert [(r.name, r.city) for r in got] == [("n1", "c1")]
+    (tmp_path / "b.csv").write_text("city,name\nc2,n2\n")
+    with pytest.raises(Exception, match="header"):
+        files.read_csv(spark, str(tmp_path), contract, multi_line).collect()
 
 
 def test_trip_layers(spark, databases):
