@@ -24,21 +24,20 @@ def reasons(rules: Mapping[str, Column]) -> Column:
     return F.array_compact(F.array(*[F.when(cond, F.lit(name)) for name, cond in rules.items()]))
 
 
-def hundredths(c: str | Column) -> Column:
-    """A money or distance amount as whole hundredths.
+def exact(c: str | Column) -> Column:
+    """An amount as a decimal with ten places; what does not fit one (NaN, infinity) is null.
 
-    Sums of whole numbers do not depend on the order of rows, so a task that is run again on
-    another executor, or another partitioning, gives the same last digit.
+    Decimal sums do not depend on the order of rows, so a task that is run again on another
+    executor, or another partitioning, gives the same last digit.
     """
-    return F.round(as_col(c) * 100).cast("bigint")
+    return as_col(c).try_cast("decimal(38,10)")
 
 
 def sum_2dp(c: str | Column) -> Column:
-    """Sum of an amount, to two places."""
-    return F.sum(hundredths(c)) / F.lit(100.0)
+    """Sum of an amount, to two places. Rows are summed as they are; only the sum is rounded."""
+    return F.round(F.try_sum(exact(c)), 2).cast("double")
 
 
 def avg_2dp(c: str | Column) -> Column:
     """Average of an amount, rounded half away from zero to two places."""
-    mean = F.try_divide(F.sum(hundredths(c)).cast("double"), F.count(as_col(c)))
-    return F.signum(mean) * F.floor(F.abs(mean) + 0.5) / F.lit(100.0)
+    return F.round(F.try_divide(F.try_sum(exact(c)), F.count(exact(c))), 2).cast("double")

@@ -31,17 +31,12 @@ def query(sql: str | None = None) -> Callable[[Run], Run]:
     return add
 
 
-def cents(x: str) -> str:
-    return f"CAST(round(({x}) * 100) AS BIGINT)"
-
-
 def sum2(x: str) -> str:
-    return f"CAST(sum({cents(x)}) AS DOUBLE) / 100e0"
+    return f"round(sum({x}), 2)"
 
 
 def avg2(x: str) -> str:
-    mean = f"(CAST(sum({cents(x)}) AS DOUBLE) / count({x}))"
-    return f"sign({mean}) * floor(abs({mean}) + 0.5e0) / 100e0"
+    return f"round(avg({x}), 2)"
 
 
 def money(x: str) -> str:
