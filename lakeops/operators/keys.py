@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakeops.operators.combine import orphans, union_all
@@ -88,24 +88,37 @@ def fk_orphans(child: DataFrame, key: str, parent: DataFrame, parent_key: str) -
     )
 
 
+PRIMARY_REPORT = "table_name string, key_column string, null_rows bigint, duplicate_keys bigint, excess_rows bigint"
+FOREIGN_REPORT = "child string, key_column string, parent string, orphan_keys bigint, orphan_rows bigint"
+
+
+def _report(spark: SparkSession, found: list[DataFrame], absent: list[tuple], schema: str) -> DataFrame:
+    """What was counted, and a row of null counts for each key that could not be looked at."""
+    return union_all([*found, spark.createDataFrame(absent, schema)] if absent or not found else found)
+
+
 def check_primary(table: Callable[[str], DataFrame | None], registry: Iterable[PrimaryKey]) -> DataFrame:
-    """``pk_violations`` of every registered table that exists."""
-    found = [
-        pk_violations(df, pk.column).select(
-            F.lit(pk.table).alias("table_name"), F.lit(pk.column).alias("key_column"), "*"
+    """``pk_violations`` of every registered key; null counts where the table does not exist."""
+    found, absent = [], []
+    for pk in registry:
+        if (df := table(pk.table)) is None:
+            absent.append((pk.table, pk.column, None, None, None))
+            continue
+        found.append(
+            pk_violations(df, pk.column).select(
+                F.lit(pk.table).alias("table_name"), F.lit(pk.column).alias("key_column"), "*"
+            )
         )
-        for pk in registry
-        if (df := table(pk.table)) is not None
-    ]
-    return union_all(found)
+    return _report(SparkSession.active(), found, absent, PRIMARY_REPORT)
 
 
 def check_foreign(table: Callable[[str], DataFrame | None], registry: Iterable[ForeignKey]) -> DataFrame:
-    """``fk_orphans`` of every registered pair of tables that exist."""
-    found = []
+    """``fk_orphans`` of every registered key; null counts where one of its tables does not exist."""
+    found, absent = [], []
     for fk in registry:
         child, parent = table(fk.child), table(fk.parent)
         if child is None or parent is None:
+            absent.append((fk.child, fk.column, fk.parent, None, None))
             continue
         found.append(
             fk_orphans(child, fk.column, parent, fk.parent_column).select(
@@ -113,4 +126,4 @@ def check_foreign(table: Callable[[str], DataFrame | None], registry: Iterable[F
                 F.lit(fk.parent).alias("parent"), "*",
             )
         )
-    return union_all(found)
+    return _report(SparkSession.active(), found, absent, FOREIGN_REPORT)

@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakeops.operators.combine import table_counts
@@ -14,7 +14,7 @@ from lakeops.operators.combine import table_counts
 def _paired(upper: Mapping[str, DataFrame], lower: Mapping[str, DataFrame], names: tuple[str, str]) -> DataFrame:
     left = table_counts(upper).withColumnRenamed("row_count", names[0])
     right = table_counts(lower).withColumnRenamed("row_count", names[1])
-    return left.join(right, "table_name").withColumn("diff", F.col(names[0]) - F.col(names[1]))
+    return left.join(right, "table_name", "full").withColumn("diff", F.col(names[0]) - F.col(names[1]))
 
 
 def reconcile(
@@ -22,22 +22,28 @@ def reconcile(
     lower: Mapping[str, DataFrame],
     names: tuple[str, str] = ("bronze_count", "silver_count"),
 ) -> DataFrame:
-    """Tables whose counts differ."""
-    return _paired(upper, lower, names).where(F.col("diff") != 0)
+    """Tables whose counts differ, or that only one of the layers has (its count is null there)."""
+    return _paired(upper, lower, names).where(F.coalesce(F.col("diff") != 0, F.lit(True)))
 
 
 def quality_log(
     upper: Mapping[str, DataFrame], lower: Mapping[str, DataFrame], at: dt.datetime | None = None
 ) -> DataFrame:
-    """One row per table with status OK or MISMATCH, in the column order of the log table."""
+    """One row per table with status OK, MISMATCH or, if only one layer has it, MISSING, in the
+    column order of the log table."""
     stamp = F.current_timestamp() if at is None else F.lit(at)
-    status = F.when(F.col("diff") == 0, "OK").otherwise("MISMATCH")
+    status = F.when(F.col("diff").isNull(), "MISSING").when(F.col("diff") == 0, "OK").otherwise("MISMATCH")
     return _paired(upper, lower, ("bronze_count", "silver_count")).select(
         stamp.alias("run_timestamp"), "table_name", "bronze_count", "silver_count", "diff",
         status.alias("status"),
     )
 
 
+def filtered_counts(df: DataFrame, **layers: Column) -> DataFrame:
+    """``<layer>_cnt`` for layers that are filters of one frame: all in one pass over it."""
+    return df.agg(*[F.count_if(keep).alias(f"{name}_cnt") for name, keep in layers.items()])
+
+
 def layer_counts(**layers: DataFrame) -> DataFrame:
     """One row, one ``<layer>_cnt`` column per layer."""
     first, *rest = [
