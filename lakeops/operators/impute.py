@@ -6,10 +6,12 @@ from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, FloatType
 
 from lakeops.operators.quantiles import exact_quantiles
 
 CATEGORY = "category:"
+RULES = ("drop", "mean", "median", "zero", "mode")
 
 
 def mode_of(df: DataFrame, col: str) -> DataFrame:
@@ -19,36 +21,47 @@ def mode_of(df: DataFrame, col: str) -> DataFrame:
     return counts.orderBy(F.desc("_n"), F.asc(col)).limit(1).select(col)
 
 
-def fill_value(df: DataFrame, col: str, rule: str, exact: bool) -> Column:
-    dtype = df.schema[col].dataType
-    if rule == "zero":
-        return F.lit(0).cast(dtype)
-    if rule.startswith(CATEGORY):
-        return F.lit(rule.removeprefix(CATEGORY))
-    if rule == "mean":
-        return df.agg(F.avg(col).alias(col)).scalar()
-    if rule == "median":
-        found = exact_quantiles(df, col, [0.5]) if exact else df.agg(F.percentile_approx(col, 0.5))
-        return found.scalar()
-    if rule == "mode":
-        return mode_of(df, col).scalar()
-    raise ValueError(f"unknown rule {rule!r} for {col}")
+def _known(df: DataFrame, col: str) -> Column:
+    """The value, with NaN as a gap."""
+    kind = df.schema[col].dataType
+    return F.nanvl(F.col(col), F.lit(None).cast(kind)) if isinstance(kind, (DoubleType, FloatType)) else F.col(col)
 
 
 def impute(df: DataFrame, rules: Mapping[str, str], exact: bool = False) -> DataFrame:
     """Apply one rule per column: ``drop``, ``mean``, ``median``, ``zero``, ``mode`` or
-    ``category:<text>``. ``<column>_imputed`` is true where a value was filled.
+    ``category:<text>``. ``<column>_imputed`` is true where a value was filled. NaN is a gap like null.
 
     Rows are dropped first, so the fill values describe the rows that stay. Means and medians
-    turn whole-number columns into doubles.
+    turn whole-number columns into doubles. All means and sketched medians are one aggregate row;
+    a mode, or an exact median, takes an aggregate of its own.
     """
+    for c, rule in rules.items():
+        if rule not in RULES and not rule.startswith(CATEGORY):
+            raise ValueError(f"unknown rule {rule!r} for {c}")
     dropped = [c for c, rule in rules.items() if rule == "drop"]
     if dropped:
         df = df.na.drop(subset=dropped)
+    known = {c: _known(df, c) for c, rule in rules.items() if rule != "drop"}
+    sketched = {
+        c: F.avg(known[c]) if rule == "mean" else F.percentile_approx(known[c], F.lit(0.5), F.lit(10000))
+        for c, rule in rules.items()
+        if rule == "mean" or (rule == "median" and not exact)
+    }
+    row = df.agg(F.struct(*[agg.alias(c) for c, agg in sketched.items()]).alias("fill")).scalar() if sketched else None
+    clean = df.withColumns(known)
     filled, flags = {}, {}
-    for c, rule in rules.items():
-        if rule == "drop":
-            continue
-        flags[f"{c}_imputed"] = F.col(c).isNull()
-        filled[c] = F.coalesce(F.col(c), fill_value(df, c, rule, exact))
-    return df.withColumns(flags).withColumns(filled)
+    for c, value in known.items():
+        rule, dtype = rules[c], df.schema[c].dataType
+        if c in sketched:
+            fill = row[c]
+        elif rule == "median":
+            fill = exact_quantiles(clean, c, [0.5]).scalar()
+        elif rule == "mode":
+            fill = mode_of(clean, c).scalar()
+        elif rule == "zero":
+            fill = F.lit(0).cast(dtype)
+        else:
+            fill = F.lit(rule.removeprefix(CATEGORY))
+        flags[f"{c}_imputed"] = value.isNull()
+        filled[c] = F.coalesce(value, fill)
+    return df.withColumns({**flags, **filled})

@@ -17,7 +17,7 @@ from pyspark.ml.linalg import DenseVector
 from pyspark.ml.regression import LinearRegression, LinearRegressionModel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, StructField, StructType
+from pyspark.sql.types import DoubleType
 
 from lakeops.operators.aggregate import histogram
 from lakeops.operators.columns import cast_all
@@ -80,15 +80,14 @@ def score_opaque(
     df: DataFrame, predict: Callable[[pd.DataFrame], pd.Series], features: Sequence[str]
 ) -> DataFrame:
     """Predictions of a model known only by its ``predict`` on pandas frames, batch by batch in
-    the tasks. For a linear model ``score_expr`` stays in the JVM."""
-    columns = list(features)
+    the tasks, which get the features alone. For a linear model ``score_expr`` stays in the JVM."""
 
-    def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    @F.pandas_udf(DoubleType())
+    def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.Series]:
         for batch in batches:
-            yield batch.assign(prediction=predict(batch[columns]))
+            yield pd.Series(predict(batch), dtype="float64")
 
-    schema = StructType([*df.schema.fields, StructField("prediction", DoubleType())])
-    return df.mapInPandas(score, schema)
+    return df.withColumn("prediction", score(F.struct(*[F.col(c) for c in features])))
 
 
 def rmse(prediction: str | Column, label: str) -> Column:
@@ -136,9 +135,14 @@ class Moments:
     cov: np.ndarray
 
 
-def moments(df: DataFrame, cols: Sequence[str], by: str | None = None) -> dict[str | None, Moments]:
-    """Moments of each group (such as the parts of a split), or of the whole table under None.
-    One pass over the table, summed on the executors into one row per group."""
+def moments(
+    df: DataFrame, cols: Sequence[str], by: str | None = None, parts: Sequence[str] = ()
+) -> dict[str | None, Moments]:
+    """Moments of the named parts of column ``by`` (such as those of a split), or of the whole table
+    under None. One pass over the table, summed on the executors into one row per part. Rows
+    with a gap are the caller's to leave out: averages and covariances would skip them differently."""
+    if by:
+        df = df.where(F.col(by).isin(*parts))
     size = len(cols)
     pairs = [(i, j) for i in range(size) for j in range(i, size)]
     found = df.groupBy(*([by] if by else [])).agg(
@@ -184,10 +188,14 @@ def fit_moments(
     return Pipeline(stages=[_assembler(features), stage]).fit(points)
 
 
-def fit_linear(df: DataFrame, features: Sequence[str], label: str, **params: float) -> PipelineModel:
-    """Least squares (or with ``params`` ridge, lasso and elastic net) over the whole table, which
-    is read once. Fitting the table itself would read it a second time for a training summary."""
-    found = moments(df, [*features, label])
+def fit_linear(
+    df: DataFrame, features: Sequence[str], label: str, regParam: float = 0.0, elasticNetParam: float = 0.0
+) -> PipelineModel:
+    """Least squares (or ridge, lasso and elastic net) over the whole table, which is read once.
+    Rows with a gap in a feature or the label are left out. Fitting the table itself would read it
+    a second time for a training summary."""
+    params = {"regParam": regParam, "elasticNetParam": elasticNetParam}
+    found = moments(training_rows(df, features, label), [*features, label])
     if not found:
         raise ValueError("no rows to fit")
     return fit_moments(df.sparkSession, found[None], features, label, **params)
@@ -240,9 +248,10 @@ def rank_trials(spark: SparkSession, trials: Sequence[Trial], val: Moments) -> D
 def search(
     tagged: DataFrame, features: Sequence[str], label: str, n: int = TRIALS, seed: int = 42, by: str = "split"
 ) -> DataFrame:
-    """Ranked trials of a random parameter search over rows tagged ``train`` and ``val``. The
-    table is read once, whatever n is."""
-    parts = moments(tagged.where(F.col(by).isin("train", "val")), [*features, label], by)
+    """Ranked trials of a random parameter search over rows tagged ``train`` and ``val``; rows with
+    a gap are left out. The table is read once, whatever n is."""
+    rows = training_rows(tagged, features, label)
+    parts = moments(rows, [*features, label], by, ("train", "val"))
     if "train" not in parts or "val" not in parts:
         raise ValueError("no training or no validation rows")
     trials = fit_trials(tagged.sparkSession, parts["train"], features, label, n, seed)
@@ -257,6 +266,14 @@ def best_params(ranked: DataFrame) -> dict[str, float]:
     return {"regParam": top.reg_param, "elasticNetParam": top.elastic_net_param}
 
 
+def tune_and_fit(
+    tagged: DataFrame, features: Sequence[str], label: str, n: int = TRIALS, seed: int = 42, by: str = "split"
+) -> PipelineModel:
+    """Search on ``train`` and ``val``, then fit both together with the best parameters."""
+    best = best_params(search(tagged, features, label, n, seed, by))
+    return fit_linear(tagged.where(F.col(by).isin("train", "val")), features, label, **best)
+
+
 def score_window(
     df: DataFrame, prediction: Column, ts: str, features: Sequence[str], length: str = "1 day"
 ) -> DataFrame:

@@ -40,7 +40,7 @@ def test_fit_equals_mllib_on_the_rows(tagged):
 
 
 def test_moments_equal_numpy(tagged):
-    m = reg.moments(tagged, [*FEATURES, LABEL], "split")["val"]
+    m = reg.moments(tagged, [*FEATURES, LABEL], "split", ("val",))["val"]
     x, y = arrays(tagged.where("split = 'val'"))
     data = np.c_[x, y]
     assert m.rows == len(data)
@@ -65,13 +65,50 @@ def test_moments_keep_their_digits_far_from_zero(spark):
 
 def test_condensed_rows_give_the_same_fit(spark, tagged):
     train = tagged.where("split = 'train'")
-    m = reg.moments(tagged, [*FEATURES, LABEL], "split")["train"]
+    m = reg.moments(tagged, [*FEATURES, LABEL], "split", ("train", "val"))["train"]
     for trial in reg.fit_trials(spark, m, FEATURES, LABEL, n=3, seed=5):
         full = mllib_fit(train, regParam=trial.regParam, elasticNetParam=trial.elasticNetParam)
         assert np.allclose(full.coefficients.toArray(), trial.coefficients.toArray(), rtol=1e-6, atol=1e-6)
         assert full.intercept == pytest.approx(trial.intercept, rel=1e-6)
 
 
+def test_rows_with_a_gap_are_skipped(spark):
+    rows = [(float(a), float(b), 3.0 * a + 5.0 * b - 3.0 + (a * b) % 3) for a in range(8) for b in range(6)]
+    gaps = [(None if b > 3 else a, b, y) for a, b, y in rows] + [(float("nan"), 1.0, 2.0), (1.0, 2.0, None), (1.0, 1.0, float("nan"))]
+    df = spark.createDataFrame(gaps, "a double, b double, y double")
+    clean = df.na.drop()
+    from pyspark.ml.regression import LinearRegression
+
+    for params in ({}, {"regParam": 0.5, "elasticNetParam": 0.3}):
+        want = LinearRegression(labelCol="y", **params).fit(reg.assemble(clean, ["a", "b"]))
+        got = reg.linear_stage(reg.fit_linear(df, ["a", "b"], "y", **params))
+        assert np.allclose(got.coefficients.toArray(), want.coefficients.toArray(), atol=1e-6)
+        assert got.intercept == pytest.approx(want.intercept, abs=1e-6)
+    tagged = df.withColumn("split", F.when(F.col("b") % 2 == 0, "train").otherwise("val"))
+    same = [reg.search(t, ["a", "b"], "y", n=3).collect() for t in (tagged, tagged.na.drop())]
+    assert same[0] == same[1]
+    with pytest.raises(TypeError):
+        reg.fit_linear(df, ["a", "b"], "y", solver="l-bfgs")
+
+
+def test_tune_then_fit_then_score_and_store(spark, tagged, tmp_path):
+    from lakeops.plans import trips as plan
+    from lakeops.suite import standins
+
+    model = reg.tune_and_fit(tagged, FEATURES, LABEL, n=3, seed=3)
+    best = reg.best_params(reg.search(tagged, FEATURES, LABEL, n=3, seed=3))
+    want = reg.linear_stage(reg.fit_linear(tagged.where("split <> 'test'"), FEATURES, LABEL, **best))
+    assert np.allclose(reg.linear_stage(model).coefficients.toArray(), want.coefficients.toArray())
+    path, target = str(tmp_path / "model"), str(tmp_path / "scores")
+    reg.save_model(model, path)
+    silver = standins.silver_trips(spark, SF)
+    for _ in range(2):
+        plan.score_and_store(spark, silver, path, target, length="30 days")
+    stored = spark.read.parquet(target)
+    assert stored.count() == reg.score_window(silver, F.lit(0.0), PICKUP, FEATURES, "30 days").count() > 1
+    assert stored.select("window_end").distinct().count() == 1
+
+
 def test_search_ranks_by_the_real_error(spark, tagged):
     ranked = reg.search(tagged, FEATURES, LABEL, n=4, seed=3).collect()
     assert [r.val_rmse for r in ranked] == sorted(r.val_rmse for r in ranked)
