@@ -74,7 +74,7 @@ def share(df: DataFrame, by: str, within: Sequence[str]) -> DataFrame:
 
 
 def pivot_counts(
-    df: DataFrame, row: str, col: str, values: Iterable[str], count: str = "cnt", fill: int | None = 0
+    df: DataFrame, row: str, col: str, values: Iterable[str], count: str = "cnt", fill: float | None = 0
 ) -> DataFrame:
     """One column per listed value. Gaps are ``fill``, or null if it is None."""
     def cell(v: str) -> Column:

@@ -9,9 +9,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-RANGES = 256  # a power of two, for the binary search
-ONE_RANGE = 10_000
-SALTS = 64
+#: Ranges of values for each factor of e; values of one range are ordered by one task.
+RANGES = 1 << 12
+_LARGEST = 1.7976931348623157e308
 
 
 def approx_quantiles(
@@ -27,30 +27,13 @@ def quantile_name(p: float) -> str:
     return f"p{p * 100:g}".replace(".", "_")
 
 
-def _join_guide(values: DataFrame, guide: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Give every value the guide row of its group; the guide has its keys under ``_<key>``.
-
-    A group may hold most of the values, so values are salted and each guide row, small as it
-    is, is repeated for every salt. A hash join builds on the guide and sorts nothing.
-    """
-    repeated = guide.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys] + [F.col("_salt") == F.col("__salt")]
-    return values.join(repeated.hint("shuffle_hash"), same).drop("__salt", *[f"_{k}" for k in keys])
-
-
-def _range_index(cuts: Column, value: Column) -> Column:
-    """How many of the sorted cuts lie below the value: a binary search of a few steps."""
-    steps = [RANGES >> i for i in range(1, RANGES.bit_length())]
-
-    def halve(found: Column, step: Column) -> Column:
-        return found + F.when(F.get(cuts, found + step - 1) < value, step).otherwise(0)
-
-    return F.aggregate(F.array(*[F.lit(s) for s in steps]), F.lit(0), halve)
-
-
-def _positions(probs: Sequence[float]) -> list[Column]:
-    """Zero-based positions of the wanted quantiles among ``_total`` rows."""
-    return [F.lit(float(p)) * (F.col("_total") - 1) for p in probs]
+def _range(value: Column) -> Column:
+    """Number of the range a value lies in, rising with the value. Ranges are relative to the size of
+    the value, so one outlier does not widen the others; NaN comes last."""
+    size = F.log(F.least(F.abs(value), F.lit(_LARGEST)))
+    number = F.floor((size + 750) * RANGES).cast("bigint")
+    signed = F.when(value > 0, number).when(value < 0, -number).otherwise(0)
+    return F.when(F.isnan(value), F.lit((1 << 62))).otherwise(signed)
 
 
 def exact_quantiles(
@@ -58,54 +41,38 @@ def exact_quantiles(
 ) -> DataFrame:
     """Interpolated quantiles, equal to ``percentile``, without a whole group in one task.
 
-    ``percentile`` keeps every distinct value of a group in one buffer. Here the rows are counted
-    per distinct value, a sketch of these values cuts each group into ranges of similar length,
-    and only the ranges that hold a wanted rank are sorted. The sketch steers the amount of
-    work; the ranks come from exact counts. A value that fills a third of the rows is one count.
+    ``percentile`` keeps every distinct value of a group in one buffer. Here the rows are counted per
+    distinct value and then per range of values. Running counts over a group's ranges say which ones hold
+    a wanted rank, two for each quantile at most; only their values are ordered. A value that fills a
+    third of the rows is one count, and one plan serves groups of every size.
     """
     keys = list(by)
-    other = [F.col(k).alias(f"_{k}") for k in keys]
     counts = (
         df.where(F.col(value).isNotNull())
         .groupBy(*keys, F.col(value).cast("double").alias("_v"))
         .agg(F.count(F.lit(1)).alias("_n"))
+        .withColumn("_range", _range(F.col("_v")))
     )
-
-    grid = F.array(*[F.lit(i / RANGES) for i in range(1, RANGES)])
-    sketch = F.percentile_approx("_v", grid, 10 * RANGES)
-    # A group of few values is one range: without cuts its guide row is tiny.
-    cuts = F.when(F.count("_n") > ONE_RANGE, sketch).otherwise(F.array().cast("array<double>"))
-    guide = counts.groupBy(*other).agg(F.struct(cuts.alias("cuts"), F.sum("_n").alias("total")).alias("_guide"))
-    if keys:
-        guided = _join_guide(counts.withColumn("_salt", F.pmod(F.hash("_v"), F.lit(SALTS))), guide, keys)
-    else:
-        guided = counts.withColumn("_guide", guide.scalar()).withColumn("_salt", F.lit(0))
-    ranged = guided.select(
-        *keys, "_salt", "_v", "_n", F.col("_guide.total").alias("_total"),
-        _range_index(F.col("_guide.cuts"), F.col("_v")).alias("_range"),
+    ranges = counts.groupBy(*[F.col(k).alias(f"_{k}") for k in keys], F.col("_range").alias("__range")).agg(
+        F.sum("_n").alias("_rows")
     )
-
-    # Of every range, the ranks it covers; kept if a wanted rank is among them. That leaves two
-    # ranges per quantile at most, which fit a map of range to first rank.
-    range_order = Window.partitionBy(*[f"_{k}" for k in keys]).orderBy("_range")
+    group = [f"_{k}" for k in keys]
+    running = Window.partitionBy(*group).orderBy("__range")
+    total = F.sum("_rows").over(Window.partitionBy(*group))
+    positions = [F.lit(float(p)) * (F.col("_total") - 1) for p in probs]
+    wanted = [rank for at in positions for rank in (F.floor(at), F.ceil(at))]
     start, end = F.col("_start"), F.col("_end")
-    wanted = [rank for at in _positions(probs) for rank in (F.floor(at), F.ceil(at))]
-    starts = (
-        ranged.groupBy(*other, "_range")
-        .agg(F.sum("_n").alias("_rows"), F.max("_total").alias("_total"))
-        .withColumn("_end", F.sum("_rows").over(range_order))
-        .withColumn("_start", F.col("_end") - F.col("_rows"))
+    held = (
+        ranges.withColumns({"_end": F.sum("_rows").over(running), "_total": total})
+        .withColumn("_start", end - F.col("_rows"))
         .where(reduce(lambda a, b: a | b, [(rank >= start) & (rank < end) for rank in wanted]))
-        .groupBy(*[f"_{k}" for k in keys])
-        .agg(F.map_from_entries(F.collect_list(F.struct("_range", "_start"))).alias("_starts"))
+        .drop("_rows", "_end")
     )
-    placed = _join_guide(ranged, starts, keys) if keys else ranged.withColumn("_starts", starts.scalar())
-    value_order = Window.partitionBy(*keys, "_range").orderBy("_v")
+    same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys] + [F.col("_range") == F.col("__range")]
+    order = Window.partitionBy(*keys, "_range").orderBy("_v")
     ranked = (
-        placed.withColumn("_start", F.try_element_at("_starts", F.col("_range")))
-        .where("_start is not null")
-        .select(*keys, "_range", "_v", "_n", "_total", "_start")
-        .withColumn("_after", F.col("_start") + F.sum("_n").over(value_order))
+        counts.join(held, same)
+        .withColumn("_after", start + F.sum("_n").over(order))
         .withColumn("_first", F.col("_after") - F.col("_n"))
     )
 
@@ -113,7 +80,7 @@ def exact_quantiles(
         return F.max(F.when((rank >= F.col("_first")) & (rank < F.col("_after")), F.col("_v")))
 
     answers = []
-    for p, at in zip(probs, _positions(probs)):
+    for p, at in zip(probs, positions):
         low, high = at_rank(F.floor(at)), at_rank(F.ceil(at))
         answers.append((low + (high - low) * F.max(at - F.floor(at))).alias(quantile_name(p)))
     return ranked.groupBy(*keys).agg(*answers)

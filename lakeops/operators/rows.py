@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -60,7 +59,8 @@ def dedupe(df: DataFrame, ignore: Iterable[str] = LOAD_COLUMNS) -> DataFrame:
 
 
 def is_all_null(df: DataFrame, ignore: Iterable[str] = LOAD_COLUMNS) -> Column:
-    return reduce(lambda a, b: a & b, [F.col(f"`{c}`").isNull() for c in business_columns(df, ignore)])
+    """As a count, not a chain of ANDs: the optimizer would multiply that out over conditional columns."""
+    return sum(F.col(f"`{c}`").isNotNull().cast("int") for c in business_columns(df, ignore)) == 0
 
 
 def drop_all_null(df: DataFrame, ignore: Iterable[str] = LOAD_COLUMNS) -> DataFrame:

@@ -10,24 +10,12 @@ from pyspark.sql import functions as F
 from lakeops.functions.ids import key_hash
 
 
-SMALL_K = 1000
-FAN = 256
+#: Slices of the hash range whose rows are counted; a slice is the most that one task orders.
+SLICES = 1 << 20
 
 
 def top_k(df: DataFrame, order: Sequence[Column], k: int) -> DataFrame:
-    """The first k rows in the given order.
-
-    Each input task sends its k best rows on, all to one task. That is little for a small k.
-    For a large k the tasks are first merged in FAN groups, which are cut to k rows each.
-    """
-    if k > SMALL_K:
-        in_group = Window.partitionBy("_fan").orderBy(*order)
-        df = (
-            df.withColumn("_fan", F.spark_partition_id() % FAN)
-            .withColumn("_rank", F.row_number().over(in_group))
-            .where(F.col("_rank") <= k)
-            .drop("_fan", "_rank")
-        )
+    """The first k rows in the given order. Each input task sends its k best rows on, to one task."""
     return df.orderBy(*order).limit(k)
 
 
@@ -39,27 +27,20 @@ def latest(df: DataFrame, ts: str, k: int, tie: Sequence[str] = ()) -> DataFrame
 def sample_k(df: DataFrame, key: Sequence[str], k: int, seed: int | None = None) -> DataFrame:
     """Exactly k rows (or all, if fewer): those with the lowest key hash, then the lowest key.
 
-    A plain top-k would send k rows of every input task to one task. The hash is spread
-    evenly, so about k / rows of its range is enough: the rows are counted in slices of an
-    eighth of that, and only rows up to the slice that completes k go on. Should the first
-    slices hold too few (one key may fill a third of the table), all rows go on.
+    One pass counts the rows of each slice of the hash range and finds the slice that completes k. A
+    second one keeps all rows of the slices before it and, of that slice, as many as are wanting. Rows
+    are ordered within their slice only; no task holds more than one slice.
     """
-    last = 64
-    rows = df.agg(F.count(F.lit(1)).cast("double").alias("n")).scalar()
-    hashed = df.withColumn("_h", key_hash(*key, seed=seed))
-    slice_of = F.least(
-        F.floor(F.col("_h") / F.lit(2.0**32) * rows * F.lit(8.0 / k)), F.lit(last).cast("bigint")
-    )
-    per_slice = hashed.groupBy(slice_of.alias("_s")).agg(F.count(F.lit(1)).alias("_n"))
-    reached = F.sum("_n").over(Window.orderBy("_s"))
-    cut = (
-        per_slice.withColumn("_reached", reached)
-        .agg(F.min(F.when(F.col("_reached") >= k, F.col("_s"))).alias("cut"))
-        .select(F.coalesce("cut", F.lit(last).cast("bigint")).alias("cut"))
-        .scalar()
-    )
-    order = [F.asc("_h"), *[F.asc(c) for c in key]]
-    return top_k(hashed.where(slice_of <= cut), order, k).drop("_h")
+    width = (1 << 32) // SLICES
+    hashed = df.withColumn("_h", key_hash(*key, seed=seed)).withColumn("_s", F.floor(F.col("_h") / width))
+    counts = hashed.groupBy("_s").agg(F.count(F.lit(1)).alias("_n"))
+    reached = counts.withColumn("_end", F.sum("_n").over(Window.orderBy("_s")))
+    # the slice that completes k, and the rows before it; without one, all rows stay
+    cut = reached.where(F.col("_end") >= k).agg(F.min(F.struct("_s", (F.col("_end") - F.col("_n")).alias("before")))).scalar()
+    place = F.row_number().over(Window.partitionBy("_s").orderBy("_h", *key))
+    kept = hashed.where(F.coalesce(F.col("_s") <= cut["_s"], F.lit(True))).withColumn("_place", place)
+    whole = F.coalesce(F.col("_s") < cut["_s"], F.lit(True))
+    return kept.where(whole | (F.col("_place") <= k - cut["before"])).drop("_h", "_s", "_place")
 
 
 def with_split(

@@ -64,18 +64,9 @@ def check_keys(spark: SparkSession, schema: str) -> tuple[DataFrame, DataFrame]:
     return check_primary(look_up, STAR_PRIMARY), check_foreign(look_up, STAR_FOREIGN)
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = 1_000_000) -> DataFrame:
-    """Mark the frame for broadcast if a count of it proves that it is small.
-
-    A filter tells the planner little about the rows that pass, so without the mark it would
-    shuffle the large side of the join before it learns the size of this one.
-    """
-    return F.broadcast(df) if df.count() <= max_rows else df
-
-
 def quantity_of_customer(lineitem: DataFrame, orders: DataFrame, customer_id: int) -> DataFrame:
     mine = orders.where(F.col("customer_id") == customer_id).select(F.col("order_id").alias("l_orderkey"))
-    kept = lineitem.join(broadcast_if_small(mine), "l_orderkey", "left_semi")
+    kept = lineitem.join(mine, "l_orderkey", "left_semi")
     return kept.agg(F.sum("l_quantity").alias("sum_quantity"))
 
 

@@ -69,11 +69,13 @@ def test_top_customer_and_dedupe_under_skew(tight):
     assert rows.dedupe(copies).count() == copies.distinct().count()
 
 
-def test_a_customer_with_many_orders_is_not_broadcast(tight):
+def test_quantity_of_a_customer_starts_no_job(tight):
     lines, orders = read_parquet(tight, SF, "lineitem"), star.silver("orders", read_parquet(tight, SF, "orders"))
     mine = orders.where("customer_id = 605")
-    assert "ResolvedHint" in star.broadcast_if_small(mine)._jdf.queryExecution().analyzed().toString()
-    assert "ResolvedHint" not in star.broadcast_if_small(mine, 3)._jdf.queryExecution().analyzed().toString()
-    got = star.quantity_of_customer(lines, orders, 605).first().sum_quantity
+    tight.sparkContext.setJobGroup("lazy", "quantity")
+    frame = star.quantity_of_customer(lines, orders, 605)
+    assert not tight.sparkContext.statusTracker().getJobIdsForGroup("lazy")
+    assert "ResolvedHint" not in frame._jdf.queryExecution().analyzed().toString()
+    got = frame.first().sum_quantity
     ids = [r.order_id for r in mine.collect()]
     assert got == lines.where(F.col("l_orderkey").isin(ids)).agg(F.sum("l_quantity")).first()[0]
