@@ -2,18 +2,19 @@
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 
-# fixed values: table-name prefix of each known city
-CITY_PREFIX = {"berlin": "berlin", "stock": "stock", "stockholm": "stock"}
+# fixed values: cities whose tables do not carry their name
+CITY_PREFIX = {"stockholm": "stock"}
 
 
 def city_prefix(city: str) -> str:
-    """Table prefix of a city; an unknown city is an error rather than a silent default."""
-    try:
-        return CITY_PREFIX[city.strip().lower()]
-    except KeyError:
-        raise ValueError(f"unknown city {city!r}; known: {sorted(CITY_PREFIX)}") from None
+    """Table prefix of a city: its name in lower case, unless its tables have a shorter one."""
+    name = city.strip().lower()
+    if not re.fullmatch(r"\w+", name):
+        raise ValueError(f"{city!r} is no table prefix")
+    return CITY_PREFIX.get(name, name)
 
 
 @dataclass(frozen=True)

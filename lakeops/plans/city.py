@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from lakeops.functions.measure import avg_2dp
 from lakeops.functions.parse import safe_date
-from lakeops.operators.aggregate import price_histogram, rating_histogram, share
+from lakeops.operators.aggregate import pivot_counts, price_histogram, rating_histogram, share
 from lakeops.operators.columns import add_load_timestamp, with_city, with_occupancy, with_price
 from lakeops.operators.combine import union_all
 from lakeops.operators.keys import check_foreign, check_primary, city_keys
@@ -158,44 +158,71 @@ def room_type_share(listing: DataFrame) -> DataFrame:
     return share(listing, "room_type", ["city"])
 
 
+def room_share_pivot(listing: DataFrame, cities: Sequence[str]) -> DataFrame:
+    """Share of each room type, cities side by side; 0 where a city has none."""
+    return pivot_counts(room_type_share(listing), "room_type", "city", cities, "share", fill=0.0)
+
+
+def rating_pivot(detailed: DataFrame, cities: Sequence[str]) -> DataFrame:
+    """Ratings per bin, cities side by side; 0 where a city has none."""
+    return pivot_counts(rating_histogram(detailed), "rating_bin", "city", cities)
+
+
 def base_tables(
-    listing: DataFrame, detailed: DataFrame, calendar: DataFrame, exact: bool = False
+    listing: DataFrame | None,
+    detailed: DataFrame | None = None,
+    calendar: DataFrame | None = None,
+    exact: bool = False,
 ) -> dict[str, DataFrame]:
-    """Report tables computed from the city tables themselves."""
-    listing, detailed, calendar = prepare_listing(listing), prepare_detailed(detailed), typed_calendar(calendar)
-    return {
-        "city_metrics": city_metrics(listing, detailed, exact),
-        "datasets": union_all(
-            [
-                coverage("listing", listing),
-                coverage("detailed_listing", detailed, "last_scraped"),
-                coverage("calendar", calendar, "date"),
-            ]
-        ),
-        "price_hist": price_histogram(detailed),
-        "occ_by_month": occupancy_by_month(calendar),
-        "neighbourhood_metrics": neighbourhood_metrics(listing),
-        "room_share": room_type_share(listing),
-        "rating_hist": rating_histogram(detailed),
-    }
+    """Report tables computed from the city tables themselves. A table that no city has leaves
+    out the report tables that need it."""
+    out, known = {}, []
+    if detailed is not None:
+        detailed = prepare_detailed(detailed)
+        dated = "last_scraped" if "last_scraped" in detailed.columns else None
+        known.append(coverage("detailed_listing", detailed, dated))
+        out["price_hist"] = price_histogram(detailed)
+        if "review_scores_rating" in detailed.columns:
+            out["rating_hist"] = rating_histogram(detailed)
+    if listing is not None:
+        listing = prepare_listing(listing)
+        known.append(coverage("listing", listing))
+        out["city_metrics"] = city_metrics(listing, detailed, exact)
+        if "neighbourhood_cleansed" in listing.columns:
+            out["neighbourhood_metrics"] = neighbourhood_metrics(listing)
+        if "room_type" in listing.columns:
+            out["room_share"] = room_type_share(listing)
+    if calendar is not None:
+        calendar = typed_calendar(calendar)
+        known.append(coverage("calendar", calendar, "date"))
+        out["occ_by_month"] = occupancy_by_month(calendar)
+    if known:
+        out["datasets"] = union_all(known)
+    return out
 
 
 def derived_tables(base: Mapping[str, DataFrame], cities: Sequence[str], exact: bool = False) -> dict[str, DataFrame]:
-    """Report tables computed from other report tables."""
+    """Report tables computed from other report tables, as far as these are there."""
     small = ("neighbourhood_metrics", "price_hist", "occ_by_month")
-    return {
-        "clean_summary": clean_summary(base["city_metrics"], base["occ_by_month"], exact),
-        "missing": missing_reports({name: base[name] for name in small}),
-        "recommendations": recommend(
-            base["price_hist"], base["neighbourhood_metrics"], base["occ_by_month"], cities
-        ),
-    }
+    there = {name: base[name] for name in small if name in base}
+    out = {}
+    if "city_metrics" in base and "occ_by_month" in base:
+        out["clean_summary"] = clean_summary(base["city_metrics"], base["occ_by_month"], exact)
+    if there:
+        out["missing"] = missing_reports(there)
+    if len(there) == len(small):
+        out["recommendations"] = recommend(*(base[n] for n in ("price_hist", "neighbourhood_metrics", "occ_by_month")), cities)
+    return out
 
 
 def build_report(
-    listing: DataFrame, detailed: DataFrame, calendar: DataFrame, cities: Sequence[str], exact: bool = False
+    listing: DataFrame | None,
+    detailed: DataFrame | None,
+    calendar: DataFrame | None,
+    cities: Sequence[str],
+    exact: bool = False,
 ) -> dict[str, DataFrame]:
-    """All report tables, lazy, from frames that carry a ``city`` column."""
+    """All report tables, lazy, from frames that carry a ``city`` column; None for a table there is not."""
     base = base_tables(listing, detailed, calendar, exact)
     return base | derived_tables(base, cities, exact)
 
@@ -214,11 +241,9 @@ def reviews(spark: SparkSession, params: Params) -> DataFrame | None:
     return city_tables(spark, params, "detailed_reviews", "reviews", "review")
 
 
-def report_inputs(spark: SparkSession, params: Params) -> list[DataFrame]:
-    parts = [city_tables(spark, params, s) for s in ("listing", "detailed_listing", "calendar")]
-    if any(p is None for p in parts):
-        raise ValueError(f"listing, detailed_listing and calendar are needed in {params.schema}")
-    return parts
+def report_inputs(spark: SparkSession, params: Params) -> list[DataFrame | None]:
+    """Listings, detailed listings and calendars; None for one that no city has."""
+    return [city_tables(spark, params, s) for s in ("listing", "detailed_listing", "calendar")]
 
 
 def city_report(spark: SparkSession, params: Params, exact: bool = False) -> dict[str, DataFrame]:

@@ -5,12 +5,13 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakeops.functions.ids import row_id
 from lakeops.functions.measure import avg_2dp, duration_min, reasons, sum_2dp
-from lakeops.sources.sinks import ensure_schema, write_table
+from lakeops.operators.regression import load_model, model_expr, score_window
+from lakeops.sources.sinks import ensure_schema, replace_partitions, write_table
 
 # fixed values: model inputs and label
 FEATURES = (
@@ -65,14 +66,14 @@ def dq_view(raw: DataFrame, strict: bool = False) -> DataFrame:
     )
 
 
+def is_silver() -> Column:
+    """Holds for raw trips whose distance, total and duration are known and not negative."""
+    return (F.col("trip_distance") >= 0) & (F.col("total_amount") >= 0) & (duration_min(PICKUP, DROPOFF) > 0)
+
+
 def silver(raw: DataFrame) -> DataFrame:
     """Raw trips with a duration, those with a negative or unknown measure left out."""
-    return (
-        raw.withColumn("trip_duration_min", duration_min(PICKUP, DROPOFF))
-        .where(F.col("trip_distance") >= 0)
-        .where(F.col("total_amount") >= 0)
-        .where(F.col("trip_duration_min") > 0)
-    )
+    return raw.where(is_silver()).withColumn("trip_duration_min", duration_min(PICKUP, DROPOFF))
 
 
 def daily(trips: DataFrame) -> DataFrame:
@@ -99,6 +100,16 @@ def trips_pipeline(
     write_table(daily(spark.table(f"{schema}.trips_silver")), f"{schema}.trips_gold")
 
 
+def score_and_store(
+    spark: SparkSession, trips: DataFrame, model_path: str, target: str,
+    features: Sequence[str] = FEATURES, ts: str = PICKUP, length: str = "1 day",
+) -> None:
+    """Load the model, score the newest slice of silver trips and replace its partition below
+    ``target``. A repeated run replaces its own rows; other slices stay."""
+    prediction = model_expr(load_model(model_path), features)
+    replace_partitions(score_window(trips, prediction, ts, features, length), target, ["window_end"])
+
+
 # Gold marts over silver trips. Each is one grouped aggregate.
 
 
@@ -107,12 +118,11 @@ def _hour() -> Column:
 
 
 def payment_mix(trips: DataFrame) -> DataFrame:
-    """Trips, revenue and share of trips per payment type. The window runs over the counted
-    types, which are a handful."""
+    """Trips, revenue and share of trips per payment type."""
     types = trips.groupBy("payment_type").agg(
         F.count(F.lit(1)).alias("trips_cnt"), sum_2dp("total_amount").alias("revenue")
     )
-    total = F.sum("trips_cnt").over(Window.partitionBy())
+    total = trips.agg(F.count(F.lit(1))).scalar()
     return types.withColumn("trip_share", F.col("trips_cnt") / total)
 
 

@@ -11,7 +11,7 @@ from lakeops.plans import city as plan
 from lakeops.sources.tables import read_parquet
 from lakeops.suite import standins
 from lakeops.suite.registry import avg2, query
-from lakeops.suite.standins import with_ctes
+from lakeops.suite.standins import rank_fits, with_ctes
 
 CITIES = ["Berlin", "Stock"]
 PRICED = with_ctes("priced")
@@ -41,10 +41,19 @@ def city_metrics(spark, sf):
     return _rounded(plan.city_metrics(priced, priced, exact=True), ROUNDED)
 
 
-@query()
+@query(
+    f"""{PRICED} SELECT city, count(DISTINCT id) AS listing_count, count(DISTINCT host_id) AS host_count,
+  true AS median_fits, round(avg(price_num), 6) AS avg_price, round(avg(occ_rate_365), 9) AS avg_occ_365,
+  round(avg(review_scores_rating), 9) AS avg_review_score FROM priced GROUP BY 1"""
+)
 def city_metrics_approx(spark, sf):
+    """The metrics, and whether the sketched median has a rank within the sketch's error."""
     priced = standins.priced(spark, sf)
-    return plan.city_metrics(priced, priced)
+    found = plan.city_metrics(priced, priced)
+    fits = priced.join(found.select("city", "median_price"), "city").groupBy("city").agg(
+        rank_fits("price_num", "median_price", 0.5).alias("median_fits")
+    )
+    return _rounded(found.drop("median_price").join(fits, "city"), ROUNDED)
 
 
 @query(f"{with_ctes('months')} SELECT city, month, round(occ_rate_month, 9) AS occ_rate_month FROM months")
@@ -119,6 +128,25 @@ def rating_histogram(spark, sf):
     return aggregate.rating_histogram(standins.priced(spark, sf))
 
 
+@query(
+    f"""{PRICED}, shares AS (SELECT city, room_type, cnt / sum(cnt) OVER (PARTITION BY city) AS share
+      FROM (SELECT city, room_type, count(*) AS cnt FROM priced GROUP BY 1, 2))
+    SELECT room_type, round(coalesce(sum(CASE WHEN city = 'Berlin' THEN share END), 0e0), 9) AS "Berlin",
+      round(coalesce(sum(CASE WHEN city = 'Stock' THEN share END), 0e0), 9) AS "Stock" FROM shares GROUP BY 1"""
+)
+def room_share_pivot(spark, sf):
+    return _rounded(plan.room_share_pivot(standins.priced(spark, sf), CITIES), dict.fromkeys(CITIES, 9))
+
+
+@query(
+    f"""{PRICED} SELECT CAST(floor(review_scores_rating / 5e0) AS BIGINT) * 5 AS rating_bin,
+      count(CASE WHEN city = 'Berlin' THEN 1 END) AS "Berlin", count(CASE WHEN city = 'Stock' THEN 1 END) AS "Stock"
+    FROM priced WHERE review_scores_rating IS NOT NULL GROUP BY 1"""
+)
+def rating_pivot(spark, sf):
+    return plan.rating_pivot(standins.priced(spark, sf), CITIES)
+
+
 @query(
     f"""{PRICED} SELECT city, room_type, cnt, cnt / sum(cnt) OVER (PARTITION BY city) AS share
     FROM (SELECT city, room_type, count(*) AS cnt FROM priced GROUP BY 1, 2)"""
@@ -197,20 +225,37 @@ def missing_reports(spark, sf):
     return plan.build_report(priced, priced, standins.calendar(spark, sf), CITIES)["missing"]
 
 
+EACH_CITY = " UNION ALL ".join(f"SELECT '{c}' AS city" for c in CITIES)
+
+
+def _for_each(dataset: str, text: str) -> str:
+    return f"SELECT city, '{dataset}' AS dataset, '{text}' AS recommendation FROM ({EACH_CITY})"
+
+
 @query(
-    """SELECT event_type AS city, 'occ_by_month' AS dataset, concat('short history (',
+    f"""{PRICED}, patchy AS (SELECT CASE WHEN listing_cnt % 2 = 0 THEN avg_price END AS avg_price FROM ({NEIGHBOURHOODS}))
+    {_for_each("price_hist", "few or no price bins: check the price texts and the price range")}
+    UNION ALL {_for_each("neighbourhood_metrics", "no neighbourhoods: check the neighbourhood and location columns")}
+    UNION ALL {_for_each("occ_by_month", "no monthly occupancy: check the calendar dates and t/f flags")}
+    UNION ALL SELECT 'all', 'neighbourhood_metrics', concat('avg_price: ',
+      CAST(round((count(*) - count(avg_price)) * 100 / count(*), 1) AS VARCHAR), '% null, filter or impute before mapping')
+    FROM patchy HAVING (count(*) - count(avg_price)) * 100 / count(*) > 20
+    UNION ALL SELECT event_type, 'occ_by_month', concat('short history (',
       CAST(count(DISTINCT date_trunc('month', ts)) AS VARCHAR),
-      ' months): seasonality is weak, add data or group by quarter') AS recommendation
+      ' months): seasonality is weak, add data or group by quarter')
     FROM events GROUP BY 1 HAVING count(DISTINCT date_trunc('month', ts)) < 6"""
 )
 def recommendations(spark, sf):
-    """The city listings give no cause for advice, so the months come from the events: one
-    group per event type, each with a short history."""
+    """All five rules: three on a report without listings or days, and two on one with gaps in a metric
+    and the months of the events, a group per event type with a short history."""
     priced = standins.priced(spark, sf)
+    bins, areas = aggregate.price_histogram(priced), plan.neighbourhood_metrics(priced)
     days = read_parquet(spark, sf, "events").select(
         F.col("event_type").alias("city"), F.to_date("ts").alias("date"), F.lit(True).alias("available")
     )
-    return recommend(
-        aggregate.price_histogram(priced), plan.neighbourhood_metrics(priced),
-        occupancy.occupancy_by_month(days), CITIES,
+    months = occupancy.occupancy_by_month(days)
+    patchy = areas.withColumn("avg_price", F.when(F.col("listing_cnt") % 2 == 0, F.col("avg_price")))
+    few = bins.where("price_bucket < 0")
+    return recommend(few, areas.where("listing_cnt < 0"), months.where("city is null"), CITIES).union(
+        recommend(bins, patchy, months, CITIES)
     )

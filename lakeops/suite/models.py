@@ -54,13 +54,31 @@ def linear_metrics_1d(spark, sf):
     )
 
 
-@query()
+def _least_squares_sql() -> str:
+    """The error of a fit on all features, one feature at a time: what a feature explains in the later
+    ones and in the label (slopes on the fitted rows) is taken out, until only the label's error is left."""
+    names = [*[f"x{i}" for i in range(len(FEATURES))], "y"]
+    columns = [f"CAST({c} AS DOUBLE) AS {n}" for n, c in zip(names, (*FEATURES, LABEL))]
+    steps = [f"r0 AS (SELECT split, {', '.join(columns)} FROM parts WHERE {' AND '.join(f'{c} IS NOT NULL' for c in (*FEATURES, LABEL))})"]
+    for i, x in enumerate(names[:-1]):
+        rest = names[i + 1 :]
+        fitted = ", ".join(f"regr_slope({n}, {x}) AS s_{n}, avg({n}) AS m_{n}" for n in rest)
+        steps.append(f"f{i} AS (SELECT avg({x}) AS m, {fitted} FROM r{i} WHERE split <> 'test')")
+        left = ", ".join(f"{n} - m_{n} - coalesce(s_{n}, 0e0) * ({x} - m) AS {n}" for n in rest)
+        steps.append(f"r{i + 1} AS (SELECT split, {left} FROM r{i}, f{i})")
+    return f"""{SPLIT}, {", ".join(steps)}
+    SELECT count(*) AS rows, round(sqrt(avg(y * y)), 6) AS rmse, round(avg(abs(y)), 6) AS mae
+    FROM r{len(FEATURES)} WHERE split = 'test'"""
+
+
+@query(_least_squares_sql())
 def fare_model(spark, sf):
     """Fit on train and validation rows, error on the test rows."""
     tagged = _tagged(spark, sf)
     model = reg.fit_linear(tagged.where("split <> 'test'"), FEATURES, LABEL)
     test = tagged.where("split = 'test'")
-    return reg.evaluate(test.withColumn("prediction", reg.model_expr(model, FEATURES)), LABEL)
+    found = reg.evaluate(test.withColumn("prediction", reg.model_expr(model, FEATURES)), LABEL)
+    return found.select("rows", F.round("rmse", 6).alias("rmse"), F.round("mae", 6).alias("mae"))
 
 
 @query()
@@ -88,12 +106,12 @@ def score_opaque(spark, sf):
 @query(
     f"""{SILVER} SELECT {", ".join(FEATURES)}, {PICKUP}, round({PREDICTION}, 6) AS prediction,
       CAST((SELECT max({PICKUP}) FROM silver) AS VARCHAR) AS window_end FROM silver
-    WHERE {PICKUP} >= (SELECT max({PICKUP}) FROM silver) - INTERVAL 1 DAY
+    WHERE {PICKUP} >= (SELECT max({PICKUP}) FROM silver) - INTERVAL 30 DAY
       AND {PICKUP} < (SELECT max({PICKUP}) FROM silver)"""
 )
 def score_last_day(spark, sf):
     prediction = F.round(reg.score_expr(COEFS, INTERCEPT, FEATURES), 6)
-    return reg.score_window(standins.silver_trips(spark, sf), prediction, PICKUP, FEATURES)
+    return reg.score_window(standins.silver_trips(spark, sf), prediction, PICKUP, FEATURES, "30 days")
 
 
 @query(

@@ -53,17 +53,18 @@ FROM {lineitem}
 
 TRIPS = """
 SELECT l_linenumber AS VendorID,
-  CASE WHEN l_partkey % 61 = 0 THEN NULL ELSE o_orderdate END AS tpep_pickup_datetime,
+  CASE WHEN l_partkey % 61 = 0 THEN NULL
+       ELSE o_orderdate + INTERVAL '1' HOUR * (l_partkey % 24) END AS tpep_pickup_datetime,
   CASE WHEN l_partkey % 67 = 0 THEN NULL ELSE l_shipdate END AS tpep_dropoff_datetime,
   CAST(l_quantity AS INT) % 6 AS passenger_count,
-  CASE WHEN l_partkey % 40 = 0 THEN -l_quantity ELSE l_quantity END AS trip_distance,
+  (CASE WHEN l_partkey % 40 = 0 THEN -l_quantity ELSE l_quantity END) * 0.3183098861837907e0 AS trip_distance,
   l_linenumber % 6 + 1 AS RatecodeID,
   CAST(l_partkey % 263 + 1 AS INT) AS PULocationID,
   CAST(l_suppkey % 263 + 1 AS INT) AS DOLocationID,
   CASE l_returnflag WHEN 'A' THEN 1 WHEN 'N' THEN 2 ELSE 3 END AS payment_type,
-  l_extendedprice * (1 - l_discount) AS fare_amount,
-  CASE WHEN l_partkey % 45 = 1 THEN -l_extendedprice ELSE l_extendedprice END AS total_amount,
-  l_tax * 100 AS tip_amount
+  l_extendedprice * (1 - l_discount) / 517.3e0 AS fare_amount,
+  (CASE WHEN l_partkey % 45 = 1 THEN -l_extendedprice ELSE l_extendedprice END) / 437.9e0 AS total_amount,
+  l_tax * 18.31563888734179e0 AS tip_amount
 FROM {lineitem} JOIN {orders} ON l_orderkey = o_orderkey
 """
 
@@ -78,6 +79,15 @@ CTES = {
         SELECT *, {money("price")} AS price_num,
           1e0 - CAST(availability_365 AS DOUBLE) / 365e0 AS occ_rate_365
         FROM listings""",
+    "sparse": """
+        SELECT """ + ", ".join(
+        f"CASE WHEN id % 31 <> 0 THEN {c} END AS {c}"
+        for c in (
+            "id host_id city is_berlin price availability_365 neighbourhood_cleansed latitude longitude room_type "
+            "minimum_nights number_of_reviews review_scores_rating host_is_superhost instant_bookable bathrooms_text "
+            "amenities last_scraped"
+        ).split()
+    ) + " FROM listings",
     "days": """
         SELECT listing_id, city, try_cast(date AS DATE) AS date,
           CASE lower(available) WHEN 't' THEN true WHEN 'f' THEN false END AS available
@@ -93,7 +103,7 @@ CTES = {
         WHERE trip_distance >= 0 AND total_amount >= 0 AND trip_duration_min > 0""",
 }
 NEEDS = {
-    "priced": ("listings",), "days": ("calendar",), "months": ("days",), "silver": ("trips",),
+    "priced": ("listings",), "sparse": ("listings",), "days": ("calendar",), "months": ("days",), "silver": ("trips",),
 }
 
 
@@ -120,6 +130,12 @@ def listings(spark: SparkSession, sf: str) -> DataFrame:
     return spark.sql(LISTINGS, **tables(spark, sf, "orders", "customer", "nation"))
 
 
+def sparse(spark: SparkSession, sf: str) -> DataFrame:
+    """Listings of which every thirty-first row is empty."""
+    rows = listings(spark, sf)
+    return rows.select(*[F.when(F.col("id") % 31 != 0, F.col(c)).alias(c) for c in rows.columns])
+
+
 def priced(spark: SparkSession, sf: str) -> DataFrame:
     """Listings with numeric price and yearly occupancy."""
     return with_occupancy(with_price(listings(spark, sf)))
@@ -140,3 +156,14 @@ def silver_trips(spark: SparkSession, sf: str) -> DataFrame:
 def joined(col: str):
     """An array column as one text, for comparison by value."""
     return F.concat_ws(",", col).alias(col)
+
+
+#: Rank error of a sketch of accuracy 10,000, and of the position that it rounds to.
+SKETCH_ERROR = 1e-4
+
+
+def rank_fits(value: str, found: str, p: float):
+    """Does ``found`` lie among the ranks that a sketch may give for quantile ``p`` of ``value``."""
+    n = F.count(value)
+    below, upto = F.count_if(F.col(value) < F.col(found)), F.count_if(F.col(value) <= F.col(found))
+    return (below - 1 <= (p + SKETCH_ERROR) * n) & (upto + 1 >= (p - SKETCH_ERROR) * n)

@@ -92,6 +92,15 @@ def test_rounded_means(spark, amounts, mean):
         assert row.s == pytest.approx(sum(a for a in amounts if a is not None))
 
 
+def test_small_amounts_are_summed_before_they_are_rounded(spark):
+    df = spark.range(1000).select(F.lit(0.004).alias("x"))
+    assert df.agg(sum_2dp("x"), avg_2dp("x")).first()[:] == (4.0, 0.0)
+    some = spark.createDataFrame([(x,) for x in (1.25, 1.255, 1.256, 0.006, 0.006, 0.006)], "x double")
+    assert some.agg(sum_2dp("x")).first()[0] == 3.78
+    odd = spark.createDataFrame([(float("nan"),), (float("inf"),), (1.5,), (None,)], "x double")
+    assert odd.agg(sum_2dp("x"), avg_2dp("x")).first()[:] == (1.5, 1.5)
+
+
 def test_sums_do_not_depend_on_partitioning(spark):
     df = spark.range(100000).select((F.rand(7) * 1000).alias("x"))
     df = df.withColumn("x", F.round("x", 2))

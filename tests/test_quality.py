@@ -71,6 +71,25 @@ def test_reconcile_and_log(spark):
     assert log == {"a": "OK", "b": "MISMATCH"}
 
 
+def test_a_table_that_one_layer_lacks_is_reported(spark):
+    upper, lower = {"t1": spark.range(3), "t2": spark.range(2)}, {"t1": spark.range(3), "t3": spark.range(1)}
+    found = sorted(tuple(r) for r in reconcile.reconcile(upper, lower).collect())
+    assert found == [("t2", 2, None, None), ("t3", None, 1, None)]
+    log = {r.table_name: r.status for r in reconcile.quality_log(upper, lower, AT).collect()}
+    assert log == {"t1": "OK", "t2": "MISSING", "t3": "MISSING"}
+    row = reconcile.filtered_counts(spark.range(9), all=F.lit(True), low=F.col("id") < 4).first()
+    assert row.asDict() == {"all_cnt": 9, "low_cnt": 4}
+
+
+def test_keys_of_absent_tables_are_rows_without_counts(spark):
+    primary = keys.check_primary(lambda _: None, keys.STAR_PRIMARY)
+    foreign = keys.check_foreign(lambda t: spark.range(2) if t == "region" else None, keys.STAR_FOREIGN)
+    assert primary.count() == len(keys.STAR_PRIMARY) and foreign.count() == len(keys.STAR_FOREIGN)
+    assert primary.where("null_rows is not null or excess_rows is not null").count() == 0
+    for empty in (keys.check_primary(lambda _: None, []), keys.check_foreign(lambda _: None, [])):
+        assert empty.count() == 0 and len(empty.columns) == 5
+
+
 def trip(spark, pickup, dropoff, distance=1.0, total=5.0):
     return spark.createDataFrame(
         [(1, pickup, dropoff, 1, distance, 1, 2, 3, 1, 4.0, total, 1.0)],
@@ -149,6 +168,20 @@ def test_impute_flags_every_filled_value(spark, exact):
     assert "must_imputed" not in got[0].asDict()
 
 
+def test_nan_is_a_gap_to_impute(spark):
+    df = spark.createDataFrame([(1.0, 1.0, 1.0), (NAN, NAN, NAN), (None, None, None), (3.0, 3.0, 3.0)], "a double, b double, c double")
+    for exact in (False, True):
+        got = impute(df, {"a": "mean", "b": "median", "c": "zero"}, exact).collect()
+        assert sorted(r.a for r in got) == [1.0, 2.0, 2.0, 3.0] and sorted(r.c for r in got) == [0.0, 0.0, 1.0, 3.0]
+        assert [r.b for r in got].count(2.0 if exact else 1.0) >= 2 and sum(r.a_imputed for r in got) == 2
+
+
+def test_means_and_medians_are_one_aggregate(spark):
+    df = spark.createDataFrame([(float(k), float(-k), k) for k in range(9)], "a double, b double, c int")
+    plan = impute(df, {"a": "mean", "b": "median", "c": "mean"})._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("scalar-subquery") >= 1 and plan.count("percentile_approx") <= plan.count("scalar-subquery")
+
+
 def test_impute_zero_keeps_the_type_and_unknown_rules_raise(spark):
     df = spark.createDataFrame([(None,), (4,)], "n int")
     out = impute(df, {"n": "zero"})
