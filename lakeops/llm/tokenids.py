@@ -15,6 +15,7 @@ import unicodedata
 import zlib
 from array import array
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -143,7 +144,10 @@ def compress(ids: np.ndarray, base: int, min_pairs: int = MIN_PAIRS) -> tuple[np
 
 
 def _spot(keys: np.ndarray) -> np.ndarray:
-    return ((keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(48)).astype(np.uint32)
+    """16 bits of a hash."""
+    if keys.dtype == np.uint32:
+        return (keys * np.uint32(0x9E3779B1)) >> np.uint32(16)
+    return (keys * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(48)
 
 
 def expansions(rules: np.ndarray, base: int) -> np.ndarray:
@@ -161,12 +165,10 @@ class Shard:
         self.base = base
         self.symbols = np.frombuffer(symbols, "<u4")
         self.lengths = np.frombuffer(lengths, "<i8")
-        pairs = np.frombuffer(rules, "<u4").reshape(-1, 2).tolist()
-        text: list[np.ndarray] = []
-        for a, b in pairs:
-            left, right = (np.array([s], np.uint32) if s < base else text[s - base] for s in (a, b))
-            text.append(np.concatenate([left, right]))
-        self.flat = np.concatenate([*text, np.zeros(0, np.uint32)])
+        spelled: list[list[int]] = []
+        for a, b in np.frombuffer(rules, "<u4").reshape(-1, 2).tolist():
+            spelled.append(([a] if a < base else spelled[a - base]) + ([b] if b < base else spelled[b - base]))
+        self.flat = np.fromiter(chain.from_iterable(spelled), np.uint32)
         self.start = np.cumsum(np.r_[0, self.lengths])[:-1]
         own = self.symbols >= base
         self.sizes = np.ones(len(self.symbols), np.int64)
