@@ -30,7 +30,7 @@ from lakeops.llm.common import inputs, saved, slices
 
 BIGRAM, UNIGRAM, REST = 0.6, 0.3, 0.1
 #: Characters of a batch, and of the texts whose n-grams share a range of hashes, on average.
-BATCH_CHARS, RANGE_CHARS = 16_000_000, 24_000_000
+BATCH_CHARS, RANGE_CHARS = 10_000_000, 16_000_000
 #: Documents whose texts are compressed together.
 PARCEL = 2_048
 #: Bits of an n-gram's key: 55 of its hash, and whether it is a single word.
