@@ -1,7 +1,8 @@
 """Severity of toxic text by cumulative-link ordinal regression on sparse word counts.
 
 P(grade >= k) = sigmoid(w . x - t_k) with one weight vector for all ordered thresholds t_1 < t_2 < ..;
-the expected severity is the sum of these over k. x holds log(1 + count) of the chosen words.
+the expected severity is the sum of these over k. x holds log(1 + count) of the chosen features: words,
+and the first letters of longer words, which compounds and inflected forms share.
 """
 
 from __future__ import annotations
@@ -20,9 +21,11 @@ from pyspark.sql import functions as F
 from lakeops.llm.common import inputs, saved, slices
 
 WORD = re.compile(r"\w+")
-#: Labelled rows the model is fitted on, at most, and words it may weigh, at most.
+#: Letters of a prefix, which longer words count for.
+PREFIX = 4
+#: Labelled rows the model is fitted on, at most, and features it may weigh, at most.
 MAX_TRAIN = 20_000
-MAX_FEATURES = 4_096
+MAX_FEATURES = 512
 #: A word is weighed if it is in so many sampled texts and its log odds are so many deviations from even.
 MIN_DOCS = 3
 MIN_Z = 2.5
@@ -47,6 +50,11 @@ def words(text: str | None) -> list[str]:
     return WORD.findall((text or "").lower())
 
 
+def features(found: list[str]) -> list[str]:
+    """The words, and ``abcd*`` for every word that starts so and goes on."""
+    return found + [w[:PREFIX] + "*" for w in found if len(w) > PREFIX]
+
+
 def labelled_sample(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN) -> DataFrame:
     """``doc_id, toxic, counts`` of at most ``max_train`` labelled documents, chosen by a hash of the id.
 
@@ -65,7 +73,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRA
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kind = pa.map_(pa.string(), pa.int32())
         for batch in slices(batches):
-            counts = [list(Counter(words(t)).items()) for t in batch.column("text").to_pylist()]
+            counts = [list(Counter(features(words(t))).items()) for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("toxic"), pa.array(counts, kind)], ["doc_id", "toxic", "counts"]
             )
@@ -122,7 +130,7 @@ def _counts_of(sample: DataFrame, chosen: list[str]) -> DataFrame:
     return counts.join(F.broadcast(words), "word").select("doc_id", "at", "n")  # MAX_FEATURES words at most
 
 
-def fit(sample: DataFrame, grades: int = GRADES, max_features: int = MAX_FEATURES, l2: float = 1e-3, steps: int = 400) -> OrdinalModel:
+def fit(sample: DataFrame, grades: int = GRADES, max_features: int = MAX_FEATURES, l2: float = 1e-4, steps: int = 400) -> OrdinalModel:
     """Fit on ``counts, grade``. The driver gets the chosen words of the bounded sample only.
 
     Without rows of some grade above 0, every probability of it is 0.
@@ -189,12 +197,15 @@ def severity(docs: DataFrame, model: OrdinalModel, id_col: str = "doc_id", text_
     The model is at most ``MAX_FEATURES`` words.
     """
     weigh = dict(zip(model.words, model.weights))
+    starts = {f[:-1] for f in weigh if f.endswith("*")}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             scores = []
             for text in batch.column("text").to_pylist():
-                found = Counter(w for w in words(text) if w in weigh)
+                own = words(text)
+                found = Counter(w for w in own if w in weigh)
+                found.update([w[:PREFIX] + "*" for w in own if w[:PREFIX] in starts and len(w) > PREFIX])
                 scores.append(sum(weigh[w] * np.log1p(c) for w, c in sorted(found.items())))
             above = model.at_least(np.array(scores, np.float64))
             steps = np.concatenate([np.ones((len(above), 1)), above, np.zeros((len(above), 1))], axis=1)
