@@ -110,7 +110,8 @@ def graded(sample: DataFrame, grades: int = GRADES, max_features: int = MAX_FEAT
     the text holds that mark toxic text.
     """
     marks = _first_words(word_odds(sample, "toxic = 1").where(F.col("z") >= MARK_Z), max_features)
-    hits = _counts_of(sample, marks).groupBy("doc_id").agg(F.sum("n").alias("hits"))
+    total = F.aggregate("n", F.lit(0), lambda a, b: a + b)
+    hits = _counts_of(sample, marks).select("doc_id", total.alias("hits"))
     rows = sample.join(hits, "doc_id", "left").withColumn("hits", F.coalesce("hits", F.lit(0)))
     shares = [k / grades for k in range(1, grades)]
     cuts = rows.where("toxic = 1").agg(F.percentile_approx("hits", shares, 10_000).alias("c")).first().c or []
@@ -124,10 +125,18 @@ def _first_words(odds: DataFrame, most: int) -> list[str]:
 
 
 def _counts_of(sample: DataFrame, chosen: list[str]) -> DataFrame:
-    """``doc_id, at, n``: place in ``chosen`` and count of each chosen word a text holds."""
-    words = sample.sparkSession.createDataFrame(list(enumerate(chosen)), "at int, word string")
-    counts = sample.select("doc_id", F.explode("counts").alias("word", "n"))
-    return counts.join(F.broadcast(words), "word").select("doc_id", "at", "n")  # MAX_FEATURES words at most
+    """``doc_id, at, n`` for every text: places in ``chosen`` of the features it holds, and their counts."""
+    place = {w: k for k, w in enumerate(chosen)}
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kind = pa.list_(pa.int32())
+        for batch in slices(batches):
+            held = [[(place[w], c) for w, c in row if w in place] for row in batch.column("counts").to_pylist()]
+            at, n = ([[pair[side] for pair in row] for row in held] for side in (0, 1))
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(at, kind), pa.array(n, kind)], ["doc_id", "at", "n"])
+
+    kind = sample.schema["doc_id"].dataType.simpleString()
+    return sample.select("doc_id", "counts").mapInArrow(run, f"doc_id {kind}, at array<int>, n array<int>")
 
 
 def fit(sample: DataFrame, grades: int = GRADES, max_features: int = MAX_FEATURES, l2: float = 1e-4, steps: int = 400) -> OrdinalModel:
@@ -139,10 +148,11 @@ def fit(sample: DataFrame, grades: int = GRADES, max_features: int = MAX_FEATURE
     rows = sample.select("doc_id", "grade").orderBy("doc_id").toArrow()
     found = _counts_of(sample, vocabulary).toArrow()
     grade = rows.column("grade").to_numpy().astype(np.int64)
-    row = pc.index_in(found.column("doc_id"), value_set=rows.column("doc_id").combine_chunks()).to_numpy().astype(np.int64)
-    col = found.column("at").to_numpy().astype(np.int64)
+    owner = pc.index_in(found.column("doc_id"), value_set=rows.column("doc_id").combine_chunks()).to_numpy()
+    row = np.repeat(owner.astype(np.int64), pc.list_value_length(found.column("at")).to_numpy())
+    col, n = (pc.list_flatten(found.column(c)).to_numpy() for c in ("at", "n"))
     order = np.lexsort((col, row))
-    row, col, val = row[order], col[order], np.log1p(found.column("n").to_numpy()[order].astype(np.float64))
+    row, col, val = row[order], col[order].astype(np.int64), np.log1p(n[order].astype(np.float64))
     weights, thresholds = descend(grade, row, col, val, len(vocabulary), grades, l2, steps)
     return OrdinalModel(tuple(vocabulary), tuple(weights.tolist()), tuple(thresholds.tolist()))
 
