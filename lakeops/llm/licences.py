@@ -1,13 +1,14 @@
 """Licence notices in documents, by the Dice coefficient over word bigrams.
 
-Text and templates are normalised to lower-case words. Windows of a template's size slide over the
-document; a window is trimmed to the bigrams it shares, and 2 |common| / (|window| + |template|), bigrams
-counted with repeats, must reach the threshold. Size bounds come first: a template is tried only if the
-document can hold a window of t / (2 - t) of its size, and a window only if it shares enough bigrams.
+Text and templates are normalised to lower-case words. Windows of every length that can reach the threshold
+start and end at bigrams the template shares; 2 |common| / (|window| + |template|), bigrams counted with
+repeats, must reach it. Size bounds come first: windows have t / (2 - t) to (2 - t) / t of the template's
+size, and a start is tried only if the longest window from it shares enough bigrams.
 """
 
 from __future__ import annotations
 
+import heapq
 import re
 from collections import Counter
 from collections.abc import Iterator, Mapping
@@ -97,7 +98,8 @@ class Scanner:
     def scan(self, text: str | None) -> Iterator[tuple[str, float, int, int]]:
         """(template, dice, first word, words) of the windows that reach the threshold.
 
-        Windows of one template do not overlap: the best goes first, ties to the earlier.
+        Windows of one template do not overlap: of all starts and lengths the best goes first, ties to the
+        earlier, then to the shorter.
         """
         get = self.ids.get
         ids = np.array([get(w, 0) for w in words(text)], np.int64)
@@ -106,30 +108,52 @@ class Scanner:
             return
         t = self.threshold
         for name, size, counts in self.templates:
-            if len(grams) < t / (2 - t) * size:
+            fewest, longest = t / (2 - t) * size - 1e-9, int((2 - t) / t * size + 1e-9)
+            if len(grams) < fewest:
                 continue
-            hit = counts[grams] > 0
-            hit[grams == 0] = False
-            at = np.flatnonzero(hit)
-            if len(at) < t / (2 - t) * size:
+            at = np.flatnonzero((counts[grams] > 0) & (grams > 0))
+            if len(at) < fewest:
                 continue
-            # windows that start at a hit; those with too few hits cannot reach the threshold
-            total = np.concatenate([[0], np.cumsum(hit)])
-            ends = np.minimum(at + size, len(grams))
-            shared = total[ends] - total[at]
-            at, ends = (x[2 * shared >= t * (shared + size)] for x in (at, ends))
-            found = []
-            for a, b in zip(at.tolist(), ends.tolist()):
-                b = a + int(np.flatnonzero(hit[a:b])[-1]) + 1
-                common = np.minimum(np.bincount(grams[a:b], minlength=len(counts)), counts)[1:].sum()
-                score = 2 * float(common) / (b - a + size)
-                if score >= t:
-                    found.append((-score, a, b))
-            taken: list[tuple[int, int]] = []
-            for score, a, b in sorted(found):
-                if all(b <= x or a >= y for x, y in taken):
-                    taken.append((a, b))
+            # windows that start at a hit; those with too few hits in the longest cannot reach the threshold
+            after = np.searchsorted(at, at + longest)
+            starts = np.flatnonzero(after - np.arange(len(at)) >= fewest)
+            if not len(starts):
+                continue
+            spent = _spent(grams[at], at, counts)
+
+            def best(k: int, stop: int) -> tuple[float, int, int, int] | None:
+                """The best window from the k-th hit that ends at ``stop`` or before; ties to the shorter."""
+                first, until = int(at[k]), min(int(after[k]), int(np.searchsorted(at, stop)))
+                ends = at[k:until] + 1
+                scores = 2 * np.cumsum(spent[k:until] < first) / (ends - first + size)
+                n = int(np.argmax(scores)) if len(scores) else 0
+                return (-float(scores[n]), first, int(ends[n]), k) if len(scores) and scores[n] >= t else None
+
+            heap = [w for k in starts.tolist() if (w := best(k, len(grams)))]
+            heapq.heapify(heap)
+            taken = bytearray(len(grams))
+            while heap:
+                score, a, b, k = heapq.heappop(heap)
+                block = taken.find(1, a, b)
+                if block < 0:
+                    taken[a:b] = b"\1" * (b - a)
                     yield name, -score, a, b - a + 1
+                elif block > a and (w := best(k, block)):
+                    heapq.heappush(heap, w)
+
+
+def _spent(grams: np.ndarray, at: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """For each hit, the place of the hit that must lie before the window for this one to be common; -1 if none.
+
+    A bigram that the template has c times is common in a window for its first c occurrences.
+    """
+    order = np.argsort(grams, kind="stable")
+    ranked, places = grams[order], at[order]
+    back = np.arange(len(order)) - counts[ranked]
+    same = (back >= 0) & (ranked[back] == ranked)
+    out = np.empty(len(order), np.int64)
+    out[order] = np.where(same, places[back], -1)
+    return out
 
 
 def notices(

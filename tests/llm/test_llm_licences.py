@@ -1,3 +1,4 @@
+import random
 from collections import Counter
 
 import pytest
@@ -60,3 +61,54 @@ def test_nulls_repeats_ties_and_empty_tables(spark):
     got = rows(licences.notices(docs), "doc_id", "licence", "at_word", "n_words")
     assert got == [(2, "MIT-notice", 0, 5)] * 2 + [(3, "MIT-notice", 0, 5), (3, "MIT-notice", 30_005, 5)]
     assert licences.notices(documents(spark, [])).count() == 0
+
+
+def every_window(text: str, t: float = licences.THRESHOLD) -> list[tuple]:
+    """All windows of all lengths between two shared bigrams, best first, without overlaps."""
+    ws = licences.words(text)
+    grams, out = list(zip(ws, ws[1:])), []
+    for name, template in licences.TEMPLATES.items():
+        tw = licences.words(template)
+        own = Counter(zip(tw, tw[1:]))
+        size, found = sum(own.values()), []
+        for a in range(len(grams)):
+            held, common = Counter(), 0
+            for b in range(a + 1, len(grams) + 1) if grams[a] in own else ():
+                held[grams[b - 1]] += 1
+                common += held[grams[b - 1]] <= own[grams[b - 1]]
+                if grams[b - 1] in own and 2 * common / (b - a + size) >= t:
+                    found.append((-2 * common / (b - a + size), a, b))
+        taken = []
+        for score, a, b in sorted(found):
+            if all(b <= x or a >= y for x, y in taken):
+                taken.append((a, b))
+                out.append((name, -score, a, b - a + 1))
+    return sorted(out)
+
+
+def test_inserted_and_shortened_notices_against_all_lengths():
+    scan = licences.Scanner(licences.TEMPLATES, licences.THRESHOLD).scan
+    mit, apache = (licences.words(licences.TEMPLATES[x]) for x in ("MIT", "Apache-2.0-header"))
+    line = [f"owner{k}" for k in range(19)]
+    cases = {
+        "MIT": [mit[:44] + line[:18] + mit[44:], mit[:70] + "and that is all of the text that the copies of the tool have to be in".split()],
+        "Apache-2.0-header": [apache[:50] + line + apache[50:]],
+    }
+    for name, texts in cases.items():
+        for ws in texts:
+            found = sorted(scan(" ".join(ws)))
+            assert name in [x[0] for x in found] and found == every_window(" ".join(ws))
+
+
+@pytest.mark.parametrize("seed", range(30))
+def test_edited_neighbouring_notices_against_all_lengths(seed):
+    rng, ws = random.Random(seed), []
+    for _ in range(4):
+        part = licences.words(licences.TEMPLATES[rng.choice(["MIT", "ISC", "Apache-2.0-header", "BSD-2-Clause", "GPL-3.0-notice"])])
+        part = part[rng.choice([0, 0, 3]) : len(part) - rng.choice([0, 0, 5, 9])]
+        for _ in range(rng.randint(0, 3)):
+            at = rng.randrange(len(part) + 1)
+            part[at : at + rng.randint(0, 2)] = rng.choice([[], ["other"], ["of", "the"], ["x"] * 8])
+        ws += part * rng.choice([1, 1, 2]) + ["of", "the", "word"] * rng.choice([0, 0, 2])
+    text = " ".join(ws)
+    assert sorted(licences.Scanner(licences.TEMPLATES, licences.THRESHOLD).scan(text)) == every_window(text)
