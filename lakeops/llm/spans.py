@@ -2,8 +2,9 @@
 
 Every document is cut after sentence ends and before line ends, without loss. For each sentence,
 the shortest run that starts there and the shortest run that ends there are hashed; a run holds
-``sentences`` sentences and ``words`` words at least, or ``long_words`` words in fewer sentences. A
-passage longer than ``long_words`` words that starts and ends at a cut is covered whole by runs inside it.
+``sentences`` sentences and ``words`` words at least, or ``long_words`` words in fewer sentences. With
+two sentences and no word floor, any repeated run of several sentences is covered whole by runs inside it, and
+so is a single sentence of ``long_words`` words. What is repeated of a sentence without the rest of it stays.
 Runs are joined over all documents, and sentences that a run covers which was there before are removed.
 """
 
@@ -20,16 +21,25 @@ from pyspark.sql import functions as F
 
 from lakeops.llm.common import inputs, saved, slices
 
-SENTENCES = 3
-WORDS = 25
+SENTENCES = 2
+WORDS = 0
 LONG_WORDS = 50
 _CUT = re.compile(r"(?<=[.!?])(?=\s)|(?<!\n)(?=\n)")
 _MIX = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F))
 
 
 def pieces(text: str) -> list[str]:
-    """The sentences with the white space before them; joined they are the text."""
-    return [p for p in _CUT.split(text) if p]
+    """The sentences with the white space before them; joined they are the text. White space is no sentence."""
+    out, blank = [], ""
+    for p in _CUT.split(text):
+        if not p or p.isspace():
+            blank += p
+        else:
+            out.append(blank + p)
+            blank = ""
+    if blank:
+        out[-1:] = ["".join(out[-1:]) + blank]
+    return out
 
 
 def _digests(text: str) -> tuple[list[str], np.ndarray, np.ndarray]:

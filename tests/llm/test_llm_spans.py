@@ -100,3 +100,36 @@ def test_empty_table_and_kept_columns(spark):
     got = spans.without_repeats(documents(spark, ["x"]), keep=("source", "first"))
     assert got.columns == ["doc_id", "text", "n_removed", "source", "first"]
     assert rows(got, "source", "first") == [("src0", "x")]
+
+
+def every_run(docs: dict) -> dict:
+    """Without the sentences of any run of several sentences, of whatever words, that was there before."""
+    cut = {d: spans.pieces(t) for d, t in docs.items()}
+    seen, out = set(), {}
+    for d in sorted(docs):
+        words, gone = [tuple(p.split()) for p in cut[d]], set()
+        for size in range(1, len(words) + 1):
+            for a in range(len(words) - size + 1):
+                key = tuple(words[a : a + size])
+                if size > 1 or len(key[0]) >= spans.LONG_WORDS:
+                    gone |= set(range(a, a + size)) if key in seen else set()
+                    seen.add(key)
+        left = "".join(p for k, p in enumerate(cut[d]) if k not in gone)
+        out[d] = left.lstrip() if gone else left
+    return out
+
+
+def test_every_run_of_several_sentences_goes(spark):
+    rng = random.Random(5)
+    sentences = [f"{prose(k, rng.choice([1, 2, 8, 20, 50, 60]), 99)}." for k in range(40)]
+    texts = [rng.choice([" ", "\n", " \n "]).join(rng.choices(sentences, k=rng.randint(0, 9))) + " \n" for _ in range(150)]
+    texts += ["Twelve words. Stay not.", "Before it. Twelve words. Stay not. After it.", "Alone.  \n\n", "Alone. \n", "Else. \n Alone. \n"]
+    got = {r.doc_id: r.text for r in spans.without_repeats(documents(spark, texts)).collect()}
+    assert got == every_run(dict(enumerate(texts)))
+    assert [got[k] for k in range(151, 155)] == ["Before it. After it.", *texts[152:]]
+
+
+def test_white_space_is_no_sentence():
+    for text in ["a. \n", "a. \n b", " \n a", "\n \n", "a.\n\n \nb. c\n\n"]:
+        parts = spans.pieces(text)
+        assert "".join(parts) == text and all(p.strip() for p in parts if len(parts) > 1)
