@@ -102,7 +102,7 @@ def _around(value: int, radius: int) -> list[int]:
 
 
 def entries(vectors: DataFrame, k: int, id_col: str = "vec_id", vector_col: str = "embedding") -> tuple[DataFrame, DataFrame]:
-    """``vec_id, h, g`` of every row that takes part, and one entry ``id, h, g, vector, members`` for each vector.
+    """``vec_id, h, g`` of every different row that takes part, and one entry ``id, h, g, vector, members`` for each vector.
 
     Rows without id take no part, nor do vectors that are null, zero, hold null or non-finite components, or
     have another dimension than most. ``members``: the ``k + 1`` smallest ids of the vector, which is all that
@@ -113,7 +113,7 @@ def entries(vectors: DataFrame, k: int, id_col: str = "vec_id", vector_col: str
     rows = rows.where(F.col("vec_id").isNotNull() & fine & F.exists("vector", lambda x: x != 0))
     usual = rows.groupBy(F.size("vector").alias("d")).count().orderBy(F.desc("count"), "d").first()
     rows = rows.where(F.size("vector") == (usual.d if usual else 0))
-    rows = rows.withColumns({"h": F.xxhash64("vector"), "g": F.xxhash64(F.lit(1), "vector")})
+    rows = rows.withColumns({"h": F.xxhash64("vector"), "g": F.xxhash64(F.lit(1), "vector")}).dropDuplicates(["vec_id", "h", "g"])
     order = Window.partitionBy("h", "g").orderBy("vec_id")
     some = rows.withColumn("place", F.row_number().over(order)).where(F.col("place") <= k + 1)
     own = some.groupBy("h", "g").agg(
@@ -229,6 +229,9 @@ def nearest(
     ``is_query`` is an expression over ``vec_id``. Candidates are all rows but the query's own id; nearness is
     the cosine, ties go to the smaller id. A query that finds fewer than k within the learned radius is asked
     again with the radius of all bits, so only tables of fewer candidates give shorter lists. Ids are whole numbers.
+
+    Rows that repeat an id with its vector count once, as candidates and as queries. An id is meant to have one
+    vector: the lists of ids with several, and lists in which these are, have no defined length.
     """
     rows, entry = entries(vectors, k, id_col, vector_col)
     entry = saved(entry, "vectors")

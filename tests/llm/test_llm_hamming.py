@@ -77,3 +77,14 @@ def test_few_candidates_and_empty_tables(spark):
     assert hamming.nearest(spark.createDataFrame([], kind), "vec_id % 50 = 0").count() == 0
     assert hamming.nearest(spark.createDataFrame([(0, [1.0])], kind), "vec_id % 50 = 0").count() == 0
     assert hamming.nearest(frame, "vec_id = 7").count() == 0
+
+
+@pytest.mark.parametrize("times", [1, 2, 7])
+def test_repeated_rows_count_once(spark, times):
+    rng = np.random.default_rng(9)
+    once = [(i, rng.normal(size=8).round(3).tolist()) for i in range(40, 60)] + [(60, [1.0] * 8), (61, [1.0] * 8), (100, [1.0] * 8)]
+    frame = spark.createDataFrame(once * times + [once[10]] * 9, "vec_id long, embedding array<double>")
+    want = plain(once, lambda q: q % 50 == 0)
+    got = lists(hamming.nearest(frame, "vec_id % 50 = 0"))
+    assert {q: [i for i, _ in v] for q, v in got.items()} == {q: [i for i, _ in v] for q, v in want.items()}
+    assert all(len(v) == 5 for v in got.values()) and [i for i, _ in got[100]][:2] == [60, 61]
