@@ -6,8 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeops.llm import hamming, licences, lmscore, maintext, packing, simhash, spans, tiling, tokenids, toxicity
-from lakeops.llm.common import table
+from lakeops.llm import hamming, licences, lmscore, maintext, packing, simhash, spans, tiling, tokenids, toxicity, trie
+from lakeops.llm.common import saved, table
 from lakeops.session import scratch_path
 from lakeops.suite.registry import Query, Run
 
@@ -113,3 +113,59 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and group of every document."""
     groups = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return groups.select("doc_id", simhash.as_hex().alias("fingerprint"), "component_id")
+
+
+# bit by bit, from the lowest, over the bytes of a decimal number
+_CRC = """xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split({x}::VARCHAR, ''), lambda d: ascii(d)::BIGINT)),
+  lambda c, d: list_reduce(list_prepend(xor(c, d), range(8)),
+    lambda r, i: CASE WHEN r % 2 = 1 THEN xor(r // 2, 3988292384) ELSE r // 2 END)), 4294967295)"""
+TRIE_SQL = f"""
+WITH filled AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL),
+t AS (
+  SELECT conv_id, role, text, row_number() OVER (
+    PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, md5(length(role) || ':' || role || ':' || text)) - 1 AS pos
+  FROM filled),
+c AS (SELECT conv_id, conv_id - conv_id % 20 AS base, {_CRC.format(x="conv_id")} % 4 AS h FROM t GROUP BY conv_id),
+r AS (
+  SELECT c.conv_id, 0 AS part, pos, role, text FROM c JOIN t ON t.conv_id = c.base WHERE pos < h
+  UNION ALL SELECT conv_id, 1, pos, role, text FROM c JOIN t USING (conv_id) WHERE pos >= h),
+s AS (
+  SELECT conv_id, coalesce(list({{'r': role, 't': text}} ORDER BY part, pos) FILTER (role IS NOT NULL), []) AS seq
+  FROM c LEFT JOIN r USING (conv_id) GROUP BY conv_id),
+p AS (SELECT conv_id, seq[1:d] AS path, d, d = len(seq) AS done FROM (SELECT *, unnest(range(0, len(seq) + 1)) AS d FROM s)),
+n AS (
+  SELECT path, d, min(conv_id) AS conv_id, count(*) AS n_convs,
+    len(list_filter(string_split_regex(coalesce(path[d].t, ''), '[ \\t-\\r]+'), lambda x: x <> '')) AS words,
+    coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (done), '') AS ends
+  FROM p GROUP BY path, d),
+k AS (SELECT n.*, u.conv_id AS parent_conv_id, (SELECT count(*) FROM n b WHERE b.d = n.d + 1 AND b.path[1:n.d] = n.path) AS n_children
+  FROM n LEFT JOIN n u ON n.d = u.d + 1 AND n.path[1:u.d] = u.path)
+SELECT k.conv_id, k.d AS depth, k.parent_conv_id, k.n_convs, k.n_children, count(*) FILTER (b.n_children = 0) AS n_leaves,
+  sum((b.n_convs - 1) * b.words)::BIGINT AS saved_tokens, sha256(k.ends) AS ends_sha256
+FROM k JOIN k b ON b.d >= k.d AND b.path[1:k.d] = k.path
+GROUP BY k.path, k.conv_id, k.d, k.parent_conv_id, k.n_convs, k.n_children, k.ends
+"""
+
+
+def branched(turns: DataFrame) -> DataFrame:
+    """Conversations that share beginnings: c has the first h turns of c - c % 20, then its own after h.
+
+    h is crc32 of the decimal id, modulo 4. A row without turn names each conversation.
+    """
+    h = F.crc32(F.col("conv_id").cast("string")) % 4
+    base = F.expr("conv_id - conv_id % 20")
+    each = turns.where("pos = 0").select("conv_id", base.alias("base"), h.alias("h"))
+    heads = turns.where((F.col("conv_id") == base) & (F.col("pos") < 3))
+    heads = heads.select(F.col("conv_id").alias("base"), "pos", "turn_key", "n_words")
+    taken = each.join(heads, "base").where("pos < h").select("conv_id", "pos", "turn_key", "n_words")
+    own = turns.where(F.col("pos") >= h).select("conv_id", "pos", "turn_key", "n_words")
+    names = each.selectExpr("conv_id", "cast(null as bigint) pos", "cast(null as binary) turn_key", "0L n_words")
+    return own.unionByName(taken).unionByName(names)
+
+
+@query(TRIE_SQL)
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every shared beginning of the branched conversations, with its members, children, leaves and ends."""
+    turns = trie.turns(table(spark, sf_dir, "conversations")).select("conv_id", "pos", "turn_key", "n_words")
+    return trie.prefix_trie(branched(saved(turns, "turns"))).drop("node_a", "node_b")
