@@ -6,7 +6,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeops.llm import hamming, licences, lmscore, maintext, packing, simhash, spans, tiling, tokenids, toxicity, trie
+from lakeops.llm import (
+    crossparse, hamming, licences, lmscore, maintext, packing, phrases, simhash, spans, tiling, tokenids, toxicity, trie,
+)
 from lakeops.llm.common import saved, table
 from lakeops.session import scratch_path
 from lakeops.suite.registry import Query, Run
@@ -169,3 +171,47 @@ def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every shared beginning of the branched conversations, with its members, children, leaves and ends."""
     turns = trie.turns(table(spark, sf_dir, "conversations")).select("conv_id", "pos", "turn_key", "n_words")
     return trie.prefix_trie(branched(saved(turns, "turns"))).drop("node_a", "node_b")
+
+
+@query()
+def op13_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document, learned from those that are not held out; a row without id is neither."""
+    docs = table(spark, sf_dir, "documents")
+    rest = F.crc32(F.col("doc_id").cast("string")) % 4
+    found = crossparse.identify(docs, crossparse.learn(docs.where(rest != 2)))
+    return found.withColumn("held_out", F.coalesce(rest == 2, F.lit(False)))
+
+
+# all phrases of one to five words, counted; then every cut of every candidate
+PHRASE_SQL = """
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\\x0A-\\x0D]')) AS piece
+  FROM documents),
+split AS (SELECT lang, list_filter(string_split_regex(piece, '[\\x20\\x09]+'), lambda x: x <> '') AS ws FROM pieces),
+grams AS (
+  SELECT lang, m, array_to_string(ws[i:i + m - 1], ' ') AS phrase
+  FROM (SELECT lang, ws, m, unnest(range(1, len(ws) - m + 2)) AS i FROM split, (SELECT unnest(range(1, 6)) AS m))),
+f AS (SELECT lang, m, phrase, count(*) AS a FROM grams GROUP BY lang, m, phrase HAVING count(*) >= 100),
+total AS (SELECT lang, sum(len(ws))::BIGINT AS n FROM split GROUP BY lang),
+cand AS (SELECT *, string_split(phrase, ' ') AS ws FROM f WHERE m > 1),
+cuts AS (SELECT *, unnest(range(1, m)) AS k FROM cand),
+scored AS (
+  SELECT c.lang, c.phrase, c.a, c.m, c.ws, k, l.a AS l, r.a AS r, n,
+    (1000::HUGEINT * c.a * n // (l.a::HUGEINT * r.a))::BIGINT AS score
+  FROM cuts c JOIN total USING (lang) JOIN f l ON l.lang = c.lang AND l.phrase = array_to_string(c.ws[1:k], ' ')
+  JOIN f r ON r.lang = c.lang AND r.phrase = array_to_string(c.ws[k + 1:], ' ')),
+best AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+kept AS (
+  SELECT * FROM best b WHERE NOT EXISTS (
+    SELECT 1 FROM cand q WHERE q.lang = b.lang AND q.m > b.m AND 100 * q.a >= 100 * b.a
+      AND contains(' ' || q.phrase || ' ', ' ' || b.phrase || ' ')))
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+FROM kept QUALIFY rank <= 2000
+"""
+
+
+@query(PHRASE_SQL)
+def op12_phrase_mining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 2000 strongest phrases of every language."""
+    return phrases.collocations(table(spark, sf_dir, "documents"))
