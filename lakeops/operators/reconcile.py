@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Mapping
+from collections.abc import Iterable, Mapping
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakeops.operators.combine import table_counts
@@ -31,9 +31,21 @@ def quality_log(
 ) -> DataFrame:
     """One row per table with status OK, MISMATCH or, if only one layer has it, MISSING, in the
     column order of the log table."""
+    return _log(_paired(upper, lower, ("bronze_count", "silver_count")), at)
+
+
+def quality_log_of(
+    spark: SparkSession, counts: Iterable[tuple[str, int | None, int | None]], at: dt.datetime | None = None
+) -> DataFrame:
+    """The same rows from counts that are known: table, rows above, rows below; None for an absent table."""
+    known = spark.createDataFrame(list(counts), "table_name string, bronze_count bigint, silver_count bigint")
+    return _log(known.withColumn("diff", F.col("bronze_count") - F.col("silver_count")), at)
+
+
+def _log(paired: DataFrame, at: dt.datetime | None) -> DataFrame:
     stamp = F.current_timestamp() if at is None else F.lit(at)
     status = F.when(F.col("diff").isNull(), "MISSING").when(F.col("diff") == 0, "OK").otherwise("MISMATCH")
-    return _paired(upper, lower, ("bronze_count", "silver_count")).select(
+    return paired.select(
         stamp.alias("run_timestamp"), "table_name", "bronze_count", "silver_count", "diff",
         status.alias("status"),
     )

@@ -11,8 +11,8 @@ from pyspark.sql.types import StructType
 from lakeops.functions.parse import bathrooms, parse_list, price_to_double, tf_equal
 from lakeops.operators.columns import add_metadata, keep
 from lakeops.operators.rejects import listing_rules, with_reasons
-from lakeops.sources.contracts import with_metadata_fields
-from lakeops.sources.files import read_csv
+from lakeops.sources.contracts import contract, with_metadata_fields
+from lakeops.sources.files import read_csv_checked
 from lakeops.sources.sinks import append, ensure_table
 
 # fixed values: columns kept for modelling, and the two limits
@@ -24,17 +24,23 @@ KEEP = (
 )
 MAX_PRICE = 10000
 MAX_MINIMUM_NIGHTS = 90
+QUARANTINE = contract("file string, reason string, record string")
 
 
 def load_feed(
     spark: SparkSession, path: str, contract: StructType, table: str, area: str,
-    at: dt.datetime | None = None, multi_line: bool = True,
+    at: dt.datetime | None = None, multi_line: bool | None = None, strict: bool = False,
 ) -> None:
-    """Append a CSV feed to its raw table with the load columns, creating the table if needed."""
-    full = with_metadata_fields(contract)
+    """Append a CSV feed to its raw table with the load columns, creating the table if needed.
+
+    Rows that do not have the header's fields go to ``<table>_quarantine`` with file, reason and text.
+    """
+    full, aside = with_metadata_fields(contract), with_metadata_fields(QUARANTINE)
     ensure_table(spark, table, full)
-    feed = read_csv(spark, path, contract, multi_line)
-    append(feed.transform(add_metadata, area, at), table, full)
+    ensure_table(spark, f"{table}_quarantine", aside)
+    good, bad = read_csv_checked(spark, path, contract, multi_line, strict)
+    append(good.transform(add_metadata, area, at), table, full)
+    append(bad.transform(add_metadata, area, at), f"{table}_quarantine", aside)
 
 
 def amenity_items(trim: bool = False, drop_empty: bool = False) -> Column:

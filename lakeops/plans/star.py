@@ -11,9 +11,10 @@ from pyspark.sql import functions as F
 from lakeops.operators.columns import rename
 from lakeops.operators.combine import top_by_count
 from lakeops.operators.keys import STAR_FOREIGN, STAR_PRIMARY, check_foreign, check_primary
-from lakeops.operators.reconcile import quality_log
-from lakeops.plans.layers import STAR_TABLES, copy_tables, existing, frames, reader
-from lakeops.sources.sinks import append, ensure_schema, ensure_table
+from lakeops.operators.reconcile import quality_log, quality_log_of
+from lakeops.plans.layers import STAR_TABLES, copy_counted, copy_tables, existing, frames, reader
+from lakeops.sources.loads import append_load
+from lakeops.sources.sinks import append, ensure_schema, ensure_table, write_table
 
 # fixed values: silver names
 CUSTOMER = {
@@ -29,6 +30,10 @@ ORDERS = {
 RENAMES = {"customer": CUSTOMER, "orders": ORDERS}
 
 
+# the column that most joins and key checks of a table go by
+BUCKETS = {"orders": "order_id", "lineitem": "l_orderkey"}
+
+
 def silver(table: str, df: DataFrame) -> DataFrame:
     return rename(df, RENAMES[table]) if table in RENAMES else df
 
@@ -45,6 +50,21 @@ def to_silver(
     return copy_tables(spark, bronze, target, existing(spark, bronze, tables), silver, fmt)
 
 
+def to_silver_bucketed(
+    spark: SparkSession, bronze: str, target: str, buckets: int,
+    tables: Iterable[str] = STAR_TABLES, fmt: str = "parquet",
+) -> list[str]:
+    """Bronze to silver with orders and line items in ``buckets`` buckets by order, each sorted: joins of the two, and
+    counts of their keys, move no rows. One load shuffles them once for all the joins that follow."""
+    ensure_schema(spark, target)
+    done = []
+    for table in existing(spark, bronze, tables):
+        keys = (buckets, [BUCKETS[table]]) if table in BUCKETS else None
+        write_table(silver(table, spark.table(f"{bronze}.{table}")), f"{target}.{table}", fmt=fmt, bucket_by=keys)
+        done.append(f"{target}.{table}")
+    return done
+
+
 def log_counts(
     spark: SparkSession, bronze: str, target: str, monitoring: str,
     at: dt.datetime | None = None, tables: Iterable[str] = STAR_TABLES,
@@ -58,6 +78,24 @@ def log_counts(
     append(rows, name)
 
 
+def to_silver_logged(
+    spark: SparkSession, bronze: str, target: str, monitoring: str, load_id: str,
+    at: dt.datetime | None = None, tables: Iterable[str] = STAR_TABLES, fmt: str = "parquet",
+) -> list[tuple[str, int, int]]:
+    """Bronze to silver and its quality log, one scan a table: the write counts what it reads and writes.
+
+    The log rows are the load ``load_id`` of ``<monitoring>.data_quality_loads``, so a second run of the same load
+    leaves one row a table. Tables that one layer lacks are logged without the other's count.
+    """
+    here = existing(spark, bronze, tables)
+    counts = copy_counted(spark, bronze, target, here, silver, fmt)
+    only = [t for t in existing(spark, target, tables) if t not in here]
+    counts += [(t, None, spark.table(f"{target}.{t}").count()) for t in only]
+    ensure_schema(spark, monitoring)
+    append_load(quality_log_of(spark, counts, at), f"{monitoring}.data_quality_loads", load_id)
+    return counts
+
+
 def check_keys(spark: SparkSession, schema: str) -> tuple[DataFrame, DataFrame]:
     """Primary and foreign key checks of the silver star schema."""
     look_up = reader(spark, schema)

@@ -12,6 +12,7 @@ from lakeops.functions.ids import row_id
 from lakeops.functions.measure import avg_2dp, duration_min, reasons, sum_2dp
 from lakeops.operators.regression import load_model, model_expr, score_window
 from lakeops.sources.sinks import ensure_schema, replace_partitions, write_table
+from lakeops.sources.tables import last_window_by_day, partition_values
 
 # fixed values: model inputs and label
 FEATURES = (
@@ -110,6 +111,25 @@ def score_and_store(
     replace_partitions(score_window(trips, prediction, ts, features, length), target, ["window_end"])
 
 
+DAY = "pickup_day"
+
+
+def store_by_day(trips: DataFrame, name: str) -> None:
+    """Silver trips, partitioned by the day of pickup. A day is written by one task, so it is one file."""
+    tasks = int(trips.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    write_table(trips.withColumn(DAY, F.to_date(PICKUP)).repartition(tasks, DAY), name, partition_by=[DAY])
+
+
+def score_newest_days(
+    spark: SparkSession, name: str, prediction: Column, features: Sequence[str] = FEATURES, days: int = 1
+) -> DataFrame:
+    """``score_window`` of a table that ``store_by_day`` has written; only the partitions of the window are read."""
+    newest = last_window_by_day(spark, name, PICKUP, DAY, days)
+    days_read = partition_values(spark, name, DAY)[-1:]
+    end = spark.table(name).where(F.col(DAY).isin([dt.date.fromisoformat(d) for d in days_read])).agg(F.max(PICKUP)).scalar()
+    return newest.select(*features, PICKUP, prediction.alias("prediction"), end.cast("string").alias("window_end"))
+
+
 # Gold marts over silver trips. Each is one grouped aggregate.
 
 

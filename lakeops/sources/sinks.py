@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from lakeops.sources.contracts import conform
+from lakeops.sources.versions import STAGED, definition, home, remove_folder, replace_table
 
 SOURCE_LAYERS = ("source", "data", "raw")
 
@@ -19,8 +20,18 @@ def write_table(
     mode: str = "overwrite",
     fmt: str = "parquet",
     partition_by: Iterable[str] = (),
+    bucket_by: tuple[int, Iterable[str]] | None = None,
 ) -> None:
-    """Create or replace the table by the frame."""
+    """Create or replace the table by the frame.
+
+    Tables of plain files are replaced as ``versions.replace_table`` does: a write that fails leaves the
+    old rows, and the frame may be read from the table itself.
+    """
+    if mode == "overwrite" and fmt in STAGED:
+        replace_table(df, name, fmt, partition_by, bucket_by)
+        return
+    if bucket_by:
+        raise ValueError(f"buckets are for replaced tables of {STAGED}")
     writer = df.write.mode(mode).format(fmt)
     keys = list(partition_by)
     if keys:
@@ -99,14 +110,16 @@ def replace_partitions(df: DataFrame, path: str, keys: Iterable[str]) -> None:
 def drop_tables(
     spark: SparkSession, names: Iterable[str], protected: Iterable[str] = SOURCE_LAYERS
 ) -> None:
-    """Drop tables if they exist. Tables of a source layer, and copies that end in ``_raw``, are
-    refused, all or nothing: later layers could not be built again without them."""
+    """Drop tables if they exist, with the folders of their versions. Tables of a source layer, and
+    copies that end in ``_raw``, are refused, all or nothing: later layers could not be built again without them."""
     names, layers = list(names), set(protected)
     refused = [n for n in names if layers & set(n.lower().split(".")[:-1]) or n.lower().endswith("_raw")]
     if refused:
         raise ValueError(f"refusing to drop source tables {refused}")
     for name in names:
-        spark.sql(f"DROP TABLE IF EXISTS {name}")
+        if definition(spark, name):
+            spark.sql(f"DROP TABLE {name}")
+            remove_folder(spark, home(spark, name))
 
 
 def as_view(df: DataFrame, name: str) -> DataFrame:

@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Iterable
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lakeops.operators.rows import last_window
+
 
 def read(spark: SparkSession, name: str) -> DataFrame:
     return spark.table(name)
@@ -30,6 +34,24 @@ def read_first(spark: SparkSession, names: Iterable[str]) -> DataFrame | None:
     return None
 
 
+def partition_values(spark: SparkSession, name: str, key: str) -> list[str]:
+    """The values of a partition column, as text and in order, from the catalog: no file is opened. The
+    partition of null is left out."""
+    listed = [dict(part.split("=", 1) for part in r[0].split("/")) for r in spark.sql(f"SHOW PARTITIONS {name}").collect()]
+    return sorted({unquote(parts[key]) for parts in listed} - {"__HIVE_DEFAULT_PARTITION__", "null"})
+
+
+def last_window_by_day(spark: SparkSession, name: str, ts: str, day: str, days: int = 1) -> DataFrame:
+    """``last_window`` of a table that is partitioned by the date of ``ts``: the catalog says which day is the newest,
+    and only its partition and those of the ``days`` before it are read."""
+    table = spark.table(name)
+    known = partition_values(spark, name, day)
+    if not known:
+        return table.limit(0)
+    first = dt.date.fromisoformat(known[-1]) - dt.timedelta(days=days)
+    return last_window(table.where(F.col(day) >= F.lit(first)), ts, f"{days} days")
+
+
 def file_sizes(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
     """One row per file below the path plus a ``Total size`` row, in whole MB and in bytes.
 
