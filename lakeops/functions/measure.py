@@ -25,7 +25,7 @@ def reasons(rules: Mapping[str, Column]) -> Column:
 
 
 def exact(c: str | Column) -> Column:
-    """An amount as a decimal with ten places; what does not fit one (NaN, infinity) is null.
+    """An amount as a decimal with ten places; what does not fit one (NaN, infinity, beyond 28 digits) is null.
 
     Decimal sums do not depend on the order of rows, so a task that is run again on another
     executor, or another partitioning, gives the same last digit.
@@ -35,9 +35,26 @@ def exact(c: str | Column) -> Column:
 
 def sum_2dp(c: str | Column) -> Column:
     """Sum of an amount, to two places. Rows are summed as they are; only the sum is rounded."""
-    return F.round(F.try_sum(exact(c)), 2).cast("double")
+    rounded = F.round(F.try_sum(exact(c)), 2).cast("double")
+    return F.coalesce(F.when(_lost(c) == 0, rounded), F.round(_doubles(c), 2))
 
 
 def avg_2dp(c: str | Column) -> Column:
     """Average of an amount, rounded half away from zero to two places."""
-    return F.round(F.try_divide(F.try_sum(exact(c)), F.count(exact(c))), 2).cast("double")
+    rounded = F.round(F.try_divide(F.try_sum(exact(c)), F.count(exact(c))), 2).cast("double")
+    return F.coalesce(F.when(_lost(c) == 0, rounded), F.round(_doubles(c) / F.count(_amount(c)), 2))
+
+
+def _amount(c: str | Column) -> Column:
+    """NaN is a gap."""
+    return F.nanvl(as_col(c).cast("double"), F.lit(None))
+
+
+def _lost(c: str | Column) -> Column:
+    """Amounts that no decimal holds. Where there are any, or the sum outgrows its decimal, doubles are summed
+    instead: an infinite or huge amount shows in the result."""
+    return F.count_if(_amount(c).isNotNull() & exact(c).isNull())
+
+
+def _doubles(c: str | Column) -> Column:
+    return F.sum(_amount(c))

@@ -35,9 +35,9 @@ def price_histogram(
 def rating_histogram(
     df: DataFrame, by: Sequence[str] = ("city",), col: str = "review_scores_rating", width: int = 5
 ) -> DataFrame:
-    """Rows per rating bin. With the default width a 0-5 scale has two bins only."""
+    """Rows per rating bin. With the default width a 0-5 scale has two bins only. Nulls and NaN are in none."""
     return (
-        df.where(F.col(col).isNotNull())
+        df.where(F.col(col).isNotNull() & ~F.isnan(F.col(col).cast("double")))
         .groupBy(*by, (F.floor(F.col(col) / F.lit(float(width))) * width).alias("rating_bin"))
         .agg(F.count(F.lit(1)).alias("cnt"))
     )

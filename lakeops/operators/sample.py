@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 from lakeops.functions.ids import key_hash
 
 
-#: Slices of the hash range whose rows are counted; a slice is the most that one task orders.
-SLICES = 1 << 20
+#: Slices of the hash range whose rows are counted, and parts that the rows of one slice are first cut into.
+SLICES, PARTS = 1 << 20, 256
 
 
 def top_k(df: DataFrame, order: Sequence[Column], k: int) -> DataFrame:
@@ -27,9 +27,10 @@ def latest(df: DataFrame, ts: str, k: int, tie: Sequence[str] = ()) -> DataFrame
 def sample_k(df: DataFrame, key: Sequence[str], k: int, seed: int | None = None) -> DataFrame:
     """Exactly k rows (or all, if fewer): those with the lowest key hash, then the lowest key.
 
-    One pass counts the rows of each slice of the hash range and finds the slice that completes k. A
-    second one keeps all rows of the slices before it and, of that slice, as many as are wanting. Rows
-    are ordered within their slice only; no task holds more than one slice.
+    One pass counts the rows of each slice of the hash range and finds the slice that completes k. All rows
+    of the slices before it stay, by a filter; of that slice, as many as are wanting. A key of a third of
+    the rows fills its slice: the slice is cut by a hash of the whole row, each part is ordered and k rows
+    of it go on at most.
     """
     width = (1 << 32) // SLICES
     hashed = df.withColumn("_h", key_hash(*key, seed=seed)).withColumn("_s", F.floor(F.col("_h") / width))
@@ -37,10 +38,15 @@ def sample_k(df: DataFrame, key: Sequence[str], k: int, seed: int | None = None)
     reached = counts.withColumn("_end", F.sum("_n").over(Window.orderBy("_s")))
     # the slice that completes k, and the rows before it; without one, all rows stay
     cut = reached.where(F.col("_end") >= k).agg(F.min(F.struct("_s", (F.col("_end") - F.col("_n")).alias("before")))).scalar()
+    whole = hashed.where(F.coalesce(F.col("_s") < cut["_s"], F.lit(True)))
+    # floats hash alike, whatever their zeros and NaN; columns that cannot be hashed leave equal keys together
+    parts = F.pmod(F.xxhash64(*[c for c, kind in df.dtypes if "map<" not in kind and "variant" not in kind], F.lit(1)), F.lit(PARTS))
+    last = hashed.where(F.col("_s") == cut["_s"]).withColumn("_p", parts)
+    place = F.row_number().over(Window.partitionBy("_p").orderBy("_h", *key))
+    some = last.withColumn("_place", place).where(F.col("_place") <= k)
     place = F.row_number().over(Window.partitionBy("_s").orderBy("_h", *key))
-    kept = hashed.where(F.coalesce(F.col("_s") <= cut["_s"], F.lit(True))).withColumn("_place", place)
-    whole = F.coalesce(F.col("_s") < cut["_s"], F.lit(True))
-    return kept.where(whole | (F.col("_place") <= k - cut["before"])).drop("_h", "_s", "_place")
+    rest = some.withColumn("_place", place).where(F.col("_place") <= k - cut["before"])
+    return whole.select(*df.columns).unionByName(rest.select(*df.columns))
 
 
 def with_split(

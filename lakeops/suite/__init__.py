@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from lakeops.suite import city, cleaning, models, quality, star, trips  # noqa: F401  (they register)
+from lakeops.suite import city, cleaning, models, quality, star, stored, trips  # noqa: F401  (they register)
 from lakeops.suite.registry import REGISTRY
 
 __all__ = ["REGISTRY"]
