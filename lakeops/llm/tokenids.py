@@ -103,34 +103,57 @@ class Encoder:
         return out
 
 
+def frequent_pairs(keys: np.ndarray, min_pairs: int) -> np.ndarray:
+    """The pairs that occur at least an eighth as often as the most frequent one, and ``min_pairs`` times; sorted.
+
+    Pairs are first counted by 20 bits of a hash. Only those in full buckets, a small part of all, are sorted
+    and counted exactly; a bucket never holds fewer than one of its pairs does.
+    """
+    spot = _spot(keys, 20)
+    held = np.bincount(spot, minlength=1 << 20)
+    most = int(held.max())
+    least = max(min_pairs, most // 8)
+    while True:
+        ranked = np.sort(keys[(held >= least)[spot]])
+        if not len(ranked):
+            return ranked
+        starts = np.flatnonzero(np.r_[True, ranked[1:] != ranked[:-1]])
+        counts = np.diff(np.r_[starts, len(ranked)])
+        wanted = max(min_pairs, int(counts.max()) // 8)
+        if wanted >= least:
+            return ranked[starts[counts >= wanted]]
+        least = wanted  # the fullest bucket held several pairs: the most frequent one has fewer
+
+
 def compress(ids: np.ndarray, base: int, min_pairs: int = MIN_PAIRS) -> tuple[np.ndarray, np.ndarray]:
     """(rules, symbols): rule k is the pair that symbol ``base + k`` stands for.
 
     Each round counts all pairs and replaces those that occur at least an eighth as often as the most
-    frequent one. Where chosen pairs overlap, every other one from the left is replaced.
+    frequent one. Where chosen pairs overlap, every other one from the left is replaced; a pair that this
+    leaves in one place gets no rule.
     """
     symbols, rules, top = ids.astype(np.uint32), [], base
     while len(symbols) > 1:
         narrow = top <= 1 << 16
         wide = symbols.astype(np.uint32 if narrow else np.uint64)
         keys = (wide[:-1] << wide.dtype.type(16 if narrow else 32)) | wide[1:]
-        ranked = np.sort(keys)
-        starts = np.flatnonzero(np.r_[True, ranked[1:] != ranked[:-1]])
-        counts = np.diff(np.r_[starts, len(ranked)])
-        often = counts >= max(min_pairs, int(counts.max()) // 8)
-        chosen = ranked[starts[often]]
+        chosen = frequent_pairs(keys, min_pairs)
         if not len(chosen):
             break
         sieve = np.zeros(1 << 16, bool)
-        sieve[_spot(chosen)] = True
-        at = np.flatnonzero(sieve[_spot(keys)])
+        sieve[_spot(chosen, 16)] = True
+        at = np.flatnonzero(sieve[_spot(keys, 16)])
         rule = np.searchsorted(chosen, keys[at])
         hit = chosen[np.minimum(rule, len(chosen) - 1)] == keys[at]
         at, rule = at[hit], rule[hit]
         fresh = np.r_[True, at[1:] != at[:-1] + 1]  # a run of overlapping pairs starts here
         place = np.arange(len(at)) - np.maximum.accumulate(np.where(fresh, np.arange(len(at)), 0))
         at, rule = at[place % 2 == 0], rule[place % 2 == 0]
-        used, rule = np.unique(rule, return_inverse=True)
+        several = np.bincount(rule, minlength=len(chosen))[rule] > 1
+        if not several.any():
+            break
+        used, rule = np.unique(rule[several], return_inverse=True)
+        at = at[several]
         shift, mask = (16, 0xFFFF) if narrow else (32, 0xFFFFFFFF)
         pairs = chosen[used].astype(np.uint64)
         rules.append(np.stack([pairs >> np.uint64(shift), pairs & np.uint64(mask)], 1).astype(np.uint32))
@@ -143,11 +166,11 @@ def compress(ids: np.ndarray, base: int, min_pairs: int = MIN_PAIRS) -> tuple[np
     return np.concatenate(rules) if rules else np.zeros((0, 2), np.uint32), symbols
 
 
-def _spot(keys: np.ndarray) -> np.ndarray:
-    """16 bits of a hash."""
+def _spot(keys: np.ndarray, bits: int) -> np.ndarray:
+    """The upper bits of a hash."""
     if keys.dtype == np.uint32:
-        return (keys * np.uint32(0x9E3779B1)) >> np.uint32(16)
-    return (keys * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(48)
+        return (keys * np.uint32(0x9E3779B1)) >> np.uint32(32 - bits)
+    return ((keys * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - bits)).astype(np.uint32)
 
 
 def expansions(rules: np.ndarray, base: int) -> np.ndarray:
