@@ -29,6 +29,8 @@ FRONTIER = 10
 #: Bits of the sets of frequent words and pairs that tasks get: 16 MB whatever the corpus. What they let
 #: through is counted exactly, so that a full set costs time and changes no result.
 SET_BITS = 27
+#: Parts of a language whose best phrases are found apart before they are ranked together.
+PARTS = 128
 #: Bytes of text whose counts a task adds up before it sends them.
 BATCH_BYTES = 8_000_000
 
@@ -198,8 +200,13 @@ def survivors(found: DataFrame, known: DataFrame, state: DataFrame) -> DataFrame
 
 
 def ranked(rows: DataFrame, top: int) -> DataFrame:
-    order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), F.asc("phrase"))
-    return rows.withColumn("rank", F.row_number().over(order).cast("long")).where(F.col("rank") <= top)
+    """The first ``top`` rows of each language, first within parts of it, so that no task orders a whole language."""
+    best = [F.desc("score"), F.desc("a"), F.asc("phrase")]
+    part = F.pmod(F.xxhash64("phrase"), F.lit(PARTS))
+    some = rows.withColumn("part", part).withColumn("place", F.row_number().over(Window.partitionBy("lang", "part").orderBy(*best)))
+    some = some.where(F.col("place") <= top).drop("part", "place")
+    place = F.row_number().over(Window.partitionBy("lang").orderBy(*best))
+    return some.withColumn("rank", place.cast("long")).where(F.col("rank") <= top)
 
 
 def collocations(
