@@ -93,9 +93,10 @@ def _inverse(base: np.uint64, n: int) -> np.ndarray:
 
 
 def span_rows(docs: DataFrame, sentences: int, words: int, long_words: int) -> DataFrame:
-    """``doc_id, first, after, h, g, again``: the runs of each document and their hashes.
+    """``doc_id, t, first, after, h, g, again``: the runs of each row's text and their hashes.
 
-    ``again``: the same run was earlier in the same document.
+    ``t`` is the hash of the text: id and text together name a document. ``again``: the same run was earlier in
+    the same text.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -115,13 +116,14 @@ def span_rows(docs: DataFrame, sentences: int, words: int, long_words: int) -> D
             if not owner:
                 continue
             columns = [np.concatenate(c) for c in zip(*found)]
+            rows = pa.array(np.concatenate(owner))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id").take(pa.array(np.concatenate(owner))), *map(pa.array, columns)],
-                ["doc_id", "first", "after", "h", "g", "again"],
+                [batch.column("doc_id").take(rows), batch.column("t").take(rows), *map(pa.array, columns)],
+                ["doc_id", "t", "first", "after", "h", "g", "again"],
             )
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.mapInArrow(run, f"doc_id {kind}, first int, after int, h long, g int, again boolean")
+    return docs.mapInArrow(run, f"doc_id {kind}, t long, first int, after int, h long, g int, again boolean")
 
 
 def repeated(
@@ -132,21 +134,29 @@ def repeated(
     words: int = WORDS,
     long_words: int = LONG_WORDS,
 ) -> DataFrame:
-    """``doc_id, first, after``: the sentence runs that are in a document of a smaller id, or earlier in the same.
+    """``doc_id, t, first, after``: the sentence runs that an earlier document holds, or the same one earlier.
 
-    Rows with a null id or text have none; rows of one id count as one document. Counting comes before
-    joining: a run that a third of all documents hold is one counted row a task.
+    Rows with a null id or text have none. Rows of one id with one text are one document; rows of one id with
+    different texts are documents of their own, the one with the lesser hash ``t`` of the text first. Counting
+    comes before joining: a run that a third of all documents hold is one counted row a task.
     """
-    rows = inputs(docs, doc_id=id_col, text=text_col).dropna()
+    rows = inputs(docs, doc_id=id_col, text=text_col).dropna().withColumn("t", F.xxhash64("text"))
     spans = saved(span_rows(rows, sentences, words, long_words), "spans")
     shared = (
         spans.where("not again").groupBy("h", "g")
-        .agg(F.min("doc_id").alias("owner"), F.max("doc_id").alias("last"))
-        .where("owner <> last").drop("last")
+        .agg(F.min("doc_id").alias("owner"), F.max("doc_id").alias("last"), F.min("t").alias("t_low"), F.max("t").alias("t_high"))
+        .where("owner <> last or t_low <> t_high").drop("last", "t_low", "t_high")
     )
-    elsewhere = spans.where("not again").join(shared, ["h", "g"]).where("doc_id <> owner")
-    columns = ("doc_id", "first", "after")
-    return elsewhere.select(*columns).union(spans.where("again").select(*columns))
+    columns = ("doc_id", "t", "first", "after")
+    held = spans.where("not again").join(shared, ["h", "g"])
+    elsewhere = held.where("doc_id <> owner").select(*columns)
+    # ids with several texts, if there are any: within the first id too, one text keeps a run
+    several = rows.groupBy("doc_id").agg(F.min("t").alias("low"), F.max("t").alias("high")).where("low <> high")
+    several = saved(several.select("doc_id"), "shared-ids")
+    own = held.where("doc_id = owner").join(several, "doc_id", "left_semi")
+    keeper = own.groupBy("h", "g").agg(F.min("t").alias("kept"))
+    later = own.join(keeper, ["h", "g"]).where("t <> kept").select(*columns)
+    return elsewhere.union(later).union(spans.where("again").select(*columns))
 
 
 def without_repeats(
@@ -161,12 +171,12 @@ def without_repeats(
     """``doc_id, text, n_removed`` for every row, and the columns ``keep`` unchanged.
 
     ``text`` is the row's text without the sentences that ``repeated`` covers. What is left keeps its white
-    space and order; a text of which nothing is left is empty, null stays null. Untouched texts are
-    returned as they are.
+    space and order; a text of which nothing is left is empty, null stays null. Untouched texts, and those of
+    rows with a null id, are returned as they are.
     """
     gone = (
         repeated(docs, id_col, text_col, sentences, words, long_words)
-        .groupBy("doc_id").agg(F.collect_set(F.struct("first", "after")).alias("gone"))
+        .groupBy("doc_id", "t").agg(F.collect_set(F.struct("first", "after")).alias("gone"))
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -191,7 +201,9 @@ def without_repeats(
                 ["doc_id", "text", "n_removed", *keep],
             )
 
-    rows = inputs(docs, doc_id=id_col, text=text_col, **{c: c for c in keep}).join(gone, "doc_id", "left")
+    rows = inputs(docs, doc_id=id_col, text=text_col, **{c: c for c in keep})
+    named = gone.select(F.col("doc_id").alias("_id"), F.col("t").alias("_t"), "gone")
+    rows = rows.join(named, (F.col("doc_id") == F.col("_id")) & (F.xxhash64("text") == F.col("_t")), "left").drop("_id", "_t")
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema if f.name in keep)
     kind = rows.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {kind}, text string, n_removed int" + (f", {kinds}" if keep else "")

@@ -133,3 +133,20 @@ def test_white_space_is_no_sentence():
     for text in ["a. \n", "a. \n b", " \n a", "\n \n", "a.\n\n \nb. c\n\n"]:
         parts = spans.pieces(text)
         assert "".join(parts) == text and all(p.strip() for p in parts if len(parts) > 1)
+
+
+def test_rows_that_share_an_id_are_judged_by_their_texts(spark):
+    """A third of the rows has one id and texts of its own: the same result as with ids of their own in that order."""
+    rng = random.Random(9)
+    sentences = [f"{prose(k, rng.choice([2, 8, 20, 60]), 99)}." for k in range(30)]
+    texts = list(dict.fromkeys(" ".join(rng.choices(sentences, k=rng.randint(1, 7))) for _ in range(90)))
+    ids = [50 if k % 3 == 0 else 100 + k if k % 3 == 1 else k for k in range(len(texts))]
+    df = documents(spark, texts, ids=ids)
+    from pyspark.sql import functions as F
+
+    hashes = {r.text: r.h for r in df.select("text", F.xxhash64("text").alias("h")).collect()}
+    order = sorted(range(len(texts)), key=lambda k: (ids[k], hashes[texts[k]]))
+    want = every_run({place: texts[k] for place, k in enumerate(order)})
+    got = rows(spans.without_repeats(df.union(df.where("doc_id = 50"))), "doc_id", "text")
+    twice = [(ids[k], want[place]) for place, k in enumerate(order) for _ in range(2 if ids[k] == 50 else 1)]
+    assert got == sorted(twice)
