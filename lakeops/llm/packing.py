@@ -121,15 +121,18 @@ def best_fit(
 ) -> DataFrame:
     """``doc_id, piece, n_words, bin_id, offset`` for every piece of every row.
 
-    Rows are dealt over shards by a hash of their id and size, so a hot source or cluster is spread
-    evenly and no task holds more than about ``shard_docs`` rows; rows equal in both (repeated rows) share a
-    shard, and each is packed. ``bin_id`` is the shard and the bin's number in it. Sizes that are null or
+    Rows are dealt over shards by a hash of all their columns and a number among equal rows, so a hot source,
+    cluster or id is spread evenly, repeated rows are too, and no task holds more than about ``shard_docs``
+    rows. Each row is packed. ``bin_id`` is the shard and the bin's number in it. Sizes that are null or
     negative count as 0. Only ids, sizes and labels are shuffled, not texts.
     """
     rows = inputs(docs, doc_id=id_col, size=size_col, source=source_col, cluster=cluster_col)
     rows = rows.withColumn("size", F.greatest(F.coalesce(F.col("size").cast("long"), F.lit(0)), F.lit(0)))
     n = max(1, -(-docs.count() // shard_docs))
-    rows = rows.withColumn("shard", F.pmod(F.xxhash64("doc_id", "size", F.lit(9)), F.lit(n)))
+    # equal rows are counted and numbered anew, which gives the same numbers in any order of the tasks
+    rows = rows.groupBy("doc_id", "size", "source", "cluster").agg(F.count("*").alias("copies"))
+    rows = rows.withColumn("number", F.explode(F.sequence(F.lit(1).cast("long"), "copies"))).drop("copies")
+    rows = rows.withColumn("shard", F.pmod(F.xxhash64("doc_id", "size", "source", "cluster", "number"), F.lit(n))).drop("number")
     kind = rows.schema["doc_id"].dataType.simpleString()
 
     def run(shard: pa.Table) -> pa.Table:

@@ -4,6 +4,8 @@ from collections import defaultdict
 import pytest
 from llm_cases import documents, prose, rows
 
+from pyspark.sql import functions as F
+
 from lakeops.llm import packing
 
 
@@ -95,3 +97,12 @@ def test_word_counts_and_clusters(spark):
     got = df.collect()
     assert [r.n for r in got] == [3, 0, 3, 0]
     assert got[0].c == got[2].c != got[1].c == got[3].c
+
+
+def test_equal_rows_and_rows_without_id_are_spread(spark):
+    same = documents(spark, ["a b c"] * 3000, ids=[None] * 3000, clash=False).withColumn("source", F.lit(None).cast("string"))
+    own = documents(spark, [f"w{k}" for k in range(3000)], ids=[None] * 3000, clash=False)
+    for docs in (same, own):
+        out = packing.best_fit(packing.measured(docs), shard_docs=100)
+        held = [r["count"] for r in out.groupBy(F.shiftright("bin_id", 32)).count().collect()]
+        assert sum(held) == 3000 and len(held) >= 25 and max(held) < 250
