@@ -237,7 +237,8 @@ def nearest(
     entry = saved(entry, "vectors")
     total = entry.count()
     spot = F.pmod(F.xxhash64("id", F.lit(11)), F.lit(1 << 30))
-    chosen = entry.where(spot < int(min(1.0, sample / max(total, 1)) * (1 << 30)) + 1).limit(sample).select("vector").toArrow()
+    chosen = entry.where(spot < int(min(1.0, sample / max(total, 1)) * (1 << 30)) + 1).orderBy(spot, "id").limit(sample)
+    chosen = chosen.select("vector").toArrow()
     schema = "query_id long, rank int, vec_id long, score double"
     if not total:
         return vectors.sparkSession.createDataFrame([], schema)

@@ -68,7 +68,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRA
     )
     share = max_train / max(marks.count(), 1)
     spot = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30))
-    marks = marks.where(spot < int(min(share, 1.0) * (1 << 30)) + 1).limit(max_train)
+    marks = marks.where(spot < int(min(share, 1.0) * (1 << 30)) + 1).orderBy(spot, "doc_id").limit(max_train)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kind = pa.map_(pa.string(), pa.int32())
@@ -81,7 +81,9 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRA
     rows = inputs(docs, doc_id="doc_id", text="text").join(F.broadcast(marks), "doc_id")
     kind = rows.schema["doc_id"].dataType.simpleString()
     counted = rows.select("doc_id", "toxic", "text").mapInArrow(run, f"doc_id {kind}, toxic int, counts map<string,int>")
-    return counted.dropDuplicates(["doc_id"])
+    # of an id's rows the same one whatever the order of tasks
+    first = F.min_by("counts", F.struct(F.size("counts"), F.to_json("counts"))).alias("counts")
+    return counted.groupBy("doc_id", "toxic").agg(first)
 
 
 def word_odds(sample: DataFrame, positive: str, min_docs: int = MIN_DOCS) -> DataFrame:
