@@ -1,8 +1,10 @@
 """Main text of web pages by the maximum-scoring run of tokens.
 
 Words score positive and tags negative, each by the log odds of standing inside the content of
-labelled pages; the run of tokens with the greatest sum, found in one scan, is the content. Elements
-that are never content (scripts, menus, notices, forms, ...) are taken out before the scan.
+labelled pages, all other parts of these pages being outside; the run of tokens with the greatest sum, found
+in one scan, says where the content is. It is completed to the ends of the element that holds it, so that an
+article keeps a list, a table or a paragraph of links at its start or end. Elements that are never content
+(scripts, menus, notices, forms, ...) are taken out before the scan.
 """
 
 from __future__ import annotations
@@ -22,6 +24,8 @@ from lakeops.llm.common import inputs, slices
 
 #: Pages the weights are learned from, at most.
 MAX_PAGES = 2_000
+#: Words score at least, and tags at most, so much: the signs are the method's, the sizes are learned.
+LEAST_WORD, LEAST_LINK, LEAST_TAG = 0.5, 0.05, -0.01
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<(?P<close>/?)(?P<name>[a-zA-Z][a-zA-Z0-9:-]*)"
     r"(?P<rest>(?:[^\"'>]|\"[^\"]*\"|'[^']*'|[\"'])*?)(?:>|\Z)|<[!?/][^>]*(?:>|\Z)|[^<]+|<",
@@ -56,6 +60,13 @@ HINTS = {
 
 #: A class that starts so tells of another element: no-sidebar, has-comments.
 ABOUT = {"no", "not", "has", "with", "without"}
+#: Within an article a class counts if it has no other words than hints and these: related-posts, not related-work.
+PLAIN = {
+    "area", "bar", "block", "bottom", "box", "btn", "button", "buttons", "container", "content", "form", "icons", "inner", "item", "items",
+    "left", "link", "links", "list", "post", "posts", "right", "row", "section", "slot", "stories", "top", "unit", "wrap", "wrapper",
+}
+#: Elements whose ends may be those of the content.
+HOLDERS = CONTENT | {"section", "div", "td", "blockquote", "center", "pre", "table"}
 
 
 @dataclass(frozen=True)
@@ -75,19 +86,22 @@ def _dropped(name: str, rest: str, in_content: bool) -> bool:
         return not in_content
     if name in ("html", "body", *CONTENT):
         return False
-    words: set[str] = set()
     for m in _HINT.finditer(rest):
         for value in (m[2] or m[3] or m[4] or "").lower().split():
-            first, *rest_of = parts = re.split(r"[^a-z0-9]+", value)
-            words.update(() if rest_of and first in ABOUT else parts)
-    found = words & HINTS
-    return bool(found - {"header"}) or (bool(found) and not in_content)
+            first, *others = parts = re.split(r"[^a-z0-9]+", value)
+            found = HINTS.intersection(parts)
+            if not found or (others and first in ABOUT):
+                continue
+            if not in_content or (found != {"header"} and all(w in HINTS or w in PLAIN or w.isdigit() for w in parts)):
+                return True
+    return False
 
 
-def tokens(page: str) -> Iterator[tuple[str, str, bool]]:
+def tokens(page: str, whole: bool = False) -> Iterator[tuple[str, str, bool]]:
     """(kind, value, inside article or main) of what may be content: kind is text, link, open or close.
 
-    Character references are decoded in texts. An element that is left out is passed over with all in it.
+    Character references are decoded in texts. An element that is left out is passed over with all in it;
+    ``whole`` leaves out only what is never shown as text, and tells of all other parts of the page.
     """
     at, n, links, content = 0, len(page), 0, 0
     skip, depth = "", 0
@@ -116,7 +130,7 @@ def tokens(page: str) -> Iterator[tuple[str, str, bool]]:
                     skip = ""
                 continue
             skip = ""
-        if opened and _dropped(name, m["rest"], content > 0):
+        if opened and not whole and _dropped(name, m["rest"], content > 0):
             if not empty:
                 skip, depth = name, 1
             yield "open", "p" if name in BLOCKS else "span", content > 0  # a block that is left out still parts two others
@@ -130,7 +144,8 @@ def tokens(page: str) -> Iterator[tuple[str, str, bool]]:
 
 
 def learned(counts: Counter, smoothing: float = 1.0) -> Weights:
-    """Weights from counts of (kind of token, inside): words above zero, tags below."""
+    """Weights from counts of (kind of token, inside): words above zero, tags below; a tag that no page had scores
+    the mean of the others."""
     inside = sum(c for (_, i), c in counts.items() if i) + smoothing
     outside = sum(c for (_, i), c in counts.items() if not i) + smoothing
 
@@ -138,12 +153,12 @@ def learned(counts: Counter, smoothing: float = 1.0) -> Weights:
         a, b = counts[kind, True] + smoothing, counts[kind, False] + smoothing
         return math.log(a / inside) - math.log(b / outside)
 
-    tags = sorted({k for k, _ in counts if k[0] == "<"})
+    tags = {t: min(LEAST_TAG, odds(t)) for t in sorted({k for k, _ in counts if k[0] == "<"})}
     return Weights(
-        max(0.5, odds("word")),
-        max(0.05, odds("link word")),
-        tuple((t, min(-0.01, odds(t))) for t in tags),
-        min(-0.5, *(odds(t) for t in tags)) if tags else -0.5,
+        max(LEAST_WORD, odds("word")),
+        max(LEAST_LINK, odds("link word")),
+        tuple(tags.items()),
+        sum(tags.values()) / len(tags) if tags else -0.5,
     )
 
 
@@ -151,7 +166,7 @@ def count_tokens(page: str) -> Counter:
     """Counts of (kind, inside) on a page whose content is marked as article or main; others count nothing."""
     out: Counter = Counter()
     marked = False
-    for kind, value, inside in tokens(page):
+    for kind, value, inside in tokens(page, whole=True):
         if kind in ("text", "link"):
             out["word" if kind == "text" else "link word", inside] += len(value.split())
         else:
@@ -161,25 +176,11 @@ def count_tokens(page: str) -> Counter:
 
 
 def extract(page: str | None, weights: Weights) -> str:
-    """Blocks of the best run, one to a line; empty if no run scores above zero.
-
-    Of runs that score the same, the first is taken.
-    """
-    score = dict(weights.tags)
+    """Blocks of the content, one to a line; empty if no run scores above zero."""
     stream = list(tokens(page or ""))
-    best, total, start, span = 0.0, 0.0, 0, (0, 0)
-    for k, (kind, value, _) in enumerate(stream):
-        if total <= 0:
-            total, start = 0.0, k
-        if kind in ("text", "link"):
-            total += len(value.split()) * (weights.word if kind == "text" else weights.link_word)
-        else:
-            total += score.get(("<" if kind == "open" else "</") + value, weights.other)
-        if total > best:
-            best, span = total, (start, k + 1)
     blocks: list[str] = []
     part: list[str] = []
-    for kind, value, _ in stream[slice(*span)]:
+    for kind, value, _ in stream[slice(*completed(stream, best_run(stream, weights)))]:
         if kind in ("text", "link"):
             part.append(value)
         elif value == "br":
@@ -191,6 +192,63 @@ def extract(page: str | None, weights: Weights) -> str:
     return "\n".join(b for b in (" ".join(b.split()) for b in blocks) if b)
 
 
+def best_run(stream: list[tuple[str, str, bool]], weights: Weights) -> tuple[int, int]:
+    """(first, after last) of the tokens with the greatest sum; of equal sums the first, (0, 0) if none is above zero."""
+    score = dict(weights.tags)
+    best, total, start, span = 0.0, 0.0, 0, (0, 0)
+    for k, (kind, value, _) in enumerate(stream):
+        if total <= 0:
+            total, start = 0.0, k
+        if kind in ("text", "link"):
+            total += len(value.split()) * (weights.word if kind == "text" else weights.link_word)
+        else:
+            total += score.get(("<" if kind == "open" else "</") + value, weights.other)
+        if total > best:
+            best, span = total, (start, k + 1)
+    return span
+
+
+def completed(stream: list[tuple[str, str, bool]], span: tuple[int, int]) -> tuple[int, int]:
+    """The run, completed to the ends of the element that holds it: the innermost article or main that is open all
+    through the run, else the innermost other of `HOLDERS`, if the run has at least half of its words. Other runs
+    stay as they are.
+    """
+    first, after = span
+    if first >= after:
+        return span
+    held: list[tuple[str, int]] = []  # elements open before the run, and where they start
+    for k, (kind, value, _) in enumerate(stream[:after]):
+        if value not in HOLDERS:
+            continue
+        if kind == "open" and k < first:
+            held.append((value, k))
+        elif kind == "open":
+            held.append((value, -1))
+        elif kind == "close":
+            at = max((i for i, (name, _) in enumerate(held) if name == value), default=-1)
+            if at >= 0:
+                del held[at:]
+    around = [(name, k) for name, k in held if k >= 0]
+    if not around:
+        return span
+    name, start = next((x for x in reversed(around) if x[0] in CONTENT), around[-1])
+    depth = 0
+    for k in range(start, len(stream)):
+        kind, value, _ = stream[k]
+        if value == name:
+            depth += (kind == "open") - (kind == "close")
+            if not depth and k + 1 >= after:
+                break
+    end = k + 1
+    if name not in CONTENT and 2 * n_words(stream, span) < n_words(stream, (start, end)):
+        return span
+    return start, end
+
+
+def n_words(stream: list[tuple[str, str, bool]], span: tuple[int, int]) -> int:
+    return sum(len(value.split()) for kind, value, _ in stream[slice(*span)] if kind in ("text", "link"))
+
+
 def train(pages: DataFrame, html_col: str = "html", max_pages: int = MAX_PAGES) -> Weights:
     """Weights from at most ``max_pages`` pages, chosen by a hash of their text.
 
@@ -199,7 +257,8 @@ def train(pages: DataFrame, html_col: str = "html", max_pages: int = MAX_PAGES)
     """
     rows = inputs(pages, html=html_col).where("html is not null")
     share = min(1.0, max_pages / max(rows.count(), 1))
-    some = rows.where(F.pmod(F.xxhash64("html", F.lit(3)), F.lit(1 << 30)) < int(share * (1 << 30)) + 1).limit(max_pages)
+    spot = F.pmod(F.xxhash64("html", F.lit(3)), F.lit(1 << 30))
+    some = rows.where(spot < int(share * (1 << 30)) + 1).orderBy(spot, "html").limit(max_pages)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total: Counter = Counter()

@@ -111,3 +111,95 @@ def test_long_page_nulls_and_empty_tables(spark, weights):
     none = spark.createDataFrame([], kind)
     assert maintext.main_text(none, maintext.train(none)).count() == 0
     assert maintext.train(none).word > 0
+
+
+def plain_extract(page: str, weights) -> str:
+    """All runs tried, and all elements listed with their ends: the least one around the best run."""
+    stream, score = list(maintext.tokens(page)), dict(weights.tags)
+    values = [
+        len(v.split()) * (weights.word if k == "text" else weights.link_word) if k in ("text", "link")
+        else score.get(("<" if k == "open" else "</") + v, weights.other)
+        for k, v, _ in stream
+    ]
+    best, span = 0.0, None
+    for a in range(len(stream)):
+        total = 0.0
+        for b in range(a, len(stream)):
+            total += values[b]
+            if total > best + 1e-9:
+                best, span = total, (a, b + 1)
+    if span is None:
+        return ""
+    open_, elements = [], []
+    for k, (kind, value, _) in enumerate(stream):
+        if kind == "open" and value in maintext.HOLDERS:
+            open_.append((value, k))
+        elif kind == "close" and value in [v for v, _ in open_]:
+            while open_[-1][0] != value:
+                elements.append((*open_.pop(), len(stream)))
+            elements.append((*open_.pop(), k + 1))
+    elements += [(v, k, len(stream)) for v, k in open_]
+    around = sorted((e - s, s, e, v) for v, s, e in elements if s < span[0] and span[1] <= e)
+    around = [x for x in around if x[3] in maintext.CONTENT] or around
+    size = lambda a, b: sum(len(v.split()) for k, v, _ in stream[a:b] if k in ("text", "link"))
+    if around and (around[0][3] in maintext.CONTENT or 2 * size(*span) >= size(*around[0][1:3])):
+        span = around[0][1:3]
+    lines = [""]
+    for kind, value, _ in stream[slice(*span)]:
+        if kind in ("text", "link"):
+            lines[-1] += value
+        elif value == "br":
+            lines[-1] += " "
+        elif value in maintext.BLOCKS:
+            lines.append("")
+    return "\n".join(t for t in (" ".join(x.split()) for x in lines) if t)
+
+
+WORDS = "some words of a paragraph that goes on for a while and says a thing or two about the matter at hand"
+ENDINGS = {
+    "list": "<ul><li>one</li><li>two</li></ul>",
+    "table": "<table><tr><td>cell a</td><td>cell b</td></tr></table>",
+    "links": "<p><a href=/x>linked words</a> <a href=/y>and more</a></p>",
+    "linked list": "<ol><li><a href=/1>first source</a><li><a href=/2>second source</a></ol>",
+    "related work": '<div class="related-work"><p>Others did it before.</p></div>',
+}
+
+
+@pytest.mark.parametrize("name", ENDINGS)
+@pytest.mark.parametrize("shell", ["<article>%s</article>", "<main>%s</main>", "<section>%s</section>", "<div>%s</div>", "<div><div>%s</div></div>"])
+def test_an_article_keeps_its_ends(weights, shell, name):
+    before = "<div><ul><li><a href=/>Home</a><li><a href=/n>News</a><li><a href=/k>Contact</a></ul></div>"
+    after = "<div><a href=/t>Terms</a> <a href=/p>Privacy</a></div>"
+    if name == "related work" and shell not in ("<article>%s</article>", "<main>%s</main>"):
+        return  # such a class counts outside of an article
+    body = f"{ENDINGS[name]}<h1>Headline</h1><p>{WORDS}</p><p>{WORDS}</p>{ENDINGS[name]}"
+    page = f"<html><body>{before}{shell % body}{after}</body></html>"
+    end = plain("<article>" + ENDINGS[name] + "</article>")
+    assert maintext.extract(page, weights) == f"{end}\nHeadline\n{WORDS}\n{WORDS}\n{end}"
+    assert maintext.extract(page, weights) == plain_extract(page, weights)
+
+
+@pytest.mark.parametrize("hint", ["related-posts", "comment-list", "ad", "social-share", "ad-2"])
+def test_clutter_within_an_article_goes(weights, hint):
+    page = f'<article><p>{WORDS}</p><div class="{hint}"><p>Not of the article.</p></div><p>The end.</p></article>'
+    assert maintext.extract(page, weights) == f"{WORDS}\nThe end."
+
+
+def test_extraction_against_brute_force(spark, weights):
+    import random
+
+    rng, some = random.Random(6), [r.html for r in table(spark, "/root/testdata/sf0.01", "pages").limit(40).collect()]
+    for page in some:
+        assert maintext.extract(page, weights) == plain_extract(page, weights)
+    names = ["div", "section", "p", "ul", "li", "a", "b", "td", "article", "h2"]
+    for _ in range(150):
+        page, open_ = "", []
+        for _ in range(rng.randint(1, 40)):
+            if open_ and rng.random() < 0.4:
+                page += f"</{open_.pop() if rng.random() < 0.9 else rng.choice(names)}>"
+            elif rng.random() < 0.5:
+                open_.append(rng.choice(names))
+                page += f"<{open_[-1]}>"
+            else:
+                page += " ".join(rng.choice(["word", "text", "it"]) for _ in range(rng.randint(0, 12))) + " "
+        assert maintext.extract(page, weights) == plain_extract(page, weights), page
