@@ -1,7 +1,8 @@
 """Documents to packed training data: each stage works on what the one before it has kept.
 
 Every stage takes (spark, docs, sf_dir) and returns a frame; all but the last return the columns of
-``documents``. A row without ``doc_id`` cannot be matched with a decision and stays as it is.
+``documents``. Decisions are taken for a row, not for an id: a row is named by its id and a hash of its text, so
+rows without an id, and rows that share one, are judged by their own texts.
 """
 
 from __future__ import annotations
@@ -17,35 +18,55 @@ COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 TOXIC = 0.5
 
 
+#: Stands for the id of rows without one: they come after all others.
+NO_ID = (1 << 63) - 1
+
+
+def keyed(docs: DataFrame) -> DataFrame:
+    """The documents with ``key``: id (rows without one last) and hash of the text, neither ever null."""
+    name = F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID))
+    return docs.select(*COLUMNS, F.struct(name.alias("id"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("t")).alias("key"))
+
+
+def without(docs: DataFrame, gone: DataFrame) -> DataFrame:
+    """The keyed documents whose key is not in ``gone``."""
+    return docs.join(gone.select("key").distinct(), "key", "left_anti")
+
+
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the severity model holds to be toxic go; with no labelled rows none does."""
     model = toxicity.train(docs, table(spark, sf_dir, "labels"))
-    toxic = toxicity.severity(docs, model).where(F.col("p_toxic") >= TOXIC).select("doc_id").dropna().distinct()
-    return docs.select(*COLUMNS).join(toxic, "doc_id", "left_anti").select(*COLUMNS)
+    named = keyed(docs)
+    scored = toxicity.severity(named, model, id_col="key").withColumnRenamed("doc_id", "key")
+    return without(named, scored.where(F.col("p_toxic") >= TOXIC)).select(*COLUMNS)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each SimHash group, the document with the smallest id stays; of rows with equal ids, one."""
-    groups = saved(simhash.near_duplicates(docs), "groups")
-    gone = groups.where("doc_id <> component_id").select("doc_id").distinct()
-    kept = docs.select(*COLUMNS).join(gone, "doc_id", "left_anti")
-    twice = groups.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id")
-    single = kept.join(twice, "doc_id", "left_anti")
-    return single.union(kept.join(twice, "doc_id", "left_semi").dropDuplicates(["doc_id"])).select(*COLUMNS)
+    """Of each SimHash group one document stays: that of the smallest id, then of the least hash of its text."""
+    named = keyed(docs)
+    groups = saved(simhash.near_duplicates(named, id_col="key").withColumnRenamed("doc_id", "key"), "groups")
+    kept = without(named, groups.where("key <> component_id"))
+    # rows of one id and text are the same document
+    twice = groups.groupBy("key").count().where("count > 1").select("key")
+    single = kept.join(twice, "key", "left_anti")
+    return single.union(kept.join(twice, "key", "left_semi").dropDuplicates(["key"])).select(*COLUMNS)
 
 
 def drop_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sentences of passages that an earlier document holds are cut out; every document stays."""
-    return spans.without_repeats(docs, keep=("lang", "source", "n_chars")).select(
-        "doc_id", "text", "lang", "source",
+    named = docs.withColumns({"nameless": F.col("doc_id").isNull(), "doc_id": F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID))})
+    cut = spans.without_repeats(named, keep=("lang", "source", "n_chars", "nameless"))
+    return cut.select(
+        F.when(~F.col("nameless"), F.col("doc_id")).alias("doc_id"), "text", "lang", "source",
         F.when(F.col("n_removed") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars")).alias("n_chars"),
     )
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that leak a benchmark item go."""
-    leaks = tiling.contaminated(docs, table(spark, sf_dir, "benchmark")).select("doc_id").dropna().distinct()
-    return docs.select(*COLUMNS).join(leaks, "doc_id", "left_anti").select(*COLUMNS)
+    named = keyed(docs)
+    leaks = tiling.contaminated(named, table(spark, sf_dir, "benchmark"), id_col="key").withColumnRenamed("doc_id", "key")
+    return without(named, leaks).select(*COLUMNS)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
