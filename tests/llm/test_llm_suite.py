@@ -75,6 +75,43 @@ def test_labels_agree_with_the_toxicity_stage(spark):
     assert labels.where("toxic = 0").join(kept, "doc_id", "left_anti").count() <= 2
 
 
+def test_rows_are_judged_by_their_own_texts(spark, tmp_path):
+    """A third of the rows without id, and one id with many texts: each stage does what it does to rows with ids."""
+    kind = "doc_id long, text string, lang string, source string, n_chars long"
+    real = table(spark, SMALL, "documents").where("doc_id < 150").select("doc_id", "text", "lang", "source", "n_chars")
+    rows = [tuple(r) for r in real.collect()]
+    # ids in the order of the rows that share or lack them: 9 for every fourth row, none for every third
+    odd = [(None if k % 3 == 0 else 9 if k % 4 == 1 else d, *rest) for k, (d, *rest) in enumerate(rows)]
+    docs = spark.createDataFrame(odd, kind)
+    texts = {(d, t) for d, t, *_ in odd}
+    model = toxicity.train(real, table(spark, SMALL, "labels"))
+    scored = {r.doc_id: r.p_toxic >= 0.5 for r in toxicity.severity(real.withColumn("doc_id", F.xxhash64("text")), model).collect()}
+    hashes = {r.text: r.h for r in real.select("text", F.xxhash64("text").alias("h")).collect()}
+    order = lambda x: (x[0] is None, x[0] or 0, hashes[x[1]])
+
+    left = corpus_pipeline.without(corpus_pipeline.keyed(docs), toxicity.severity(corpus_pipeline.keyed(docs), model, id_col="key").withColumnRenamed("doc_id", "key").where("p_toxic >= 0.5"))
+    want = {x for x in texts if not scored[hashes[x[1]]]}
+    assert {(r.doc_id, r.text) for r in left.collect()} == want and len(want) < len(texts)
+
+    kept = corpus_pipeline.drop_near_copies(spark, left.select(*corpus_pipeline.COLUMNS), SMALL).cache()
+    ranked = sorted(want, key=order)
+    groups = plain_groups([plain_fingerprint(t) for _, t in ranked], 4)
+    want = {x for k, x in enumerate(ranked) if groups[k] == k}
+    assert sorted(map(str, ((r.doc_id, r.text) for r in kept.collect()))) == sorted(map(str, want))
+
+    cut = corpus_pipeline.drop_repeated_passages(spark, kept, SMALL).cache()
+    ranked = sorted(want, key=order)
+    result = plain_result({k: t for k, (_, t) in enumerate(ranked)})
+    want = {(d, result[k]) for k, (d, _) in enumerate(ranked)}
+    assert sorted(map(str, ((r.doc_id, r.text) for r in cut.collect()))) == sorted(map(str, [(d, result[k]) for k, (d, _) in enumerate(ranked)]))
+
+    clean = corpus_pipeline.drop_contaminated(spark, cut, SMALL)
+    items = {r.item_id: r.text for r in table(spark, SMALL, "benchmark").collect()}
+    leaks = {d for d, _ in plain_pairs({k: t for k, (_, t) in enumerate(sorted(want, key=str))}, items)}
+    want = {x for k, x in enumerate(sorted(want, key=str)) if k not in leaks}
+    assert {(r.doc_id, r.text) for r in clean.collect()} == want
+
+
 def test_stages_bear_odd_rows(spark, tmp_path):
     kind = "doc_id long, text string, lang string, source string, n_chars long"
     passage = "one two three four five six seven eight nine ten. " * 6
@@ -85,4 +122,5 @@ def test_stages_bear_odd_rows(spark, tmp_path):
         spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(str(folder / "labels.parquet"))
         spark.createDataFrame([(1, None)], "item_id long, text string").write.parquet(str(folder / "benchmark.parquet"))
         out = corpus_pipeline.run(spark, str(folder)).collect()
-        assert sorted(str(r.doc_id) for r in out) == (["1", "3", "None", "None"] if rows else [])
+        # 2 and the empty row without id are copies of 1, and the passage without id is one of 3
+        assert sorted(str(r.doc_id) for r in out) == (["1", "3"] if rows else [])
