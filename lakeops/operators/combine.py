@@ -15,11 +15,12 @@ def union_all(frames: Iterable[DataFrame]) -> DataFrame:
 
 
 def table_counts(frames: Mapping[str, DataFrame]) -> DataFrame:
-    """One row per table with its row count."""
-    return union_all(
-        df.agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(name).alias("table_name"), "row_count")
-        for name, df in frames.items()
-    )
+    """One row per table with its row count. All tables are counted in one stage, each task by table."""
+    names = list(frames)
+    rows = union_all(df.select(F.lit(k).alias("_table")) for k, df in enumerate(frames.values()))
+    counts = rows.groupBy("_table").agg(F.count(F.lit(1)).alias("_rows"))
+    listed = rows.sparkSession.createDataFrame(list(enumerate(names)), "_table int, table_name string")
+    return listed.join(counts, "_table", "left").select("table_name", F.coalesce("_rows", F.lit(0)).alias("row_count"))
 
 
 def orphans(child: DataFrame, key: str, parent: DataFrame, parent_key: str) -> DataFrame:

@@ -25,9 +25,10 @@ def write_table(
     """Create or replace the table by the frame.
 
     Tables of plain files are replaced as ``versions.replace_table`` does: a write that fails leaves the
-    old rows, and the frame may be read from the table itself.
+    old rows, and the frame may be read from the table itself. Other formats, and catalogs that keep the place
+    of tables to themselves, replace tables in their own way.
     """
-    if mode == "overwrite" and fmt in STAGED:
+    if mode == "overwrite" and fmt in STAGED and home(df.sparkSession, name):
         replace_table(df, name, fmt, partition_by, bucket_by)
         return
     if bucket_by:
@@ -119,7 +120,8 @@ def drop_tables(
     for name in names:
         if definition(spark, name):
             spark.sql(f"DROP TABLE {name}")
-            remove_folder(spark, home(spark, name))
+            if folder := home(spark, name):
+                remove_folder(spark, folder)
 
 
 def as_view(df: DataFrame, name: str) -> DataFrame:

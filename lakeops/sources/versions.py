@@ -57,11 +57,12 @@ def _buckets(facts: dict[str, str]) -> tuple[int, tuple[str, ...]] | None:
     return int(facts["Num Buckets"]), tuple(c.strip(" `") for c in facts["Bucket Columns"].strip("[]").split(","))
 
 
-def home(spark: SparkSession, name: str) -> str:
-    """The folder of the table's versions, beside those of its database's tables."""
+def home(spark: SparkSession, name: str) -> str | None:
+    """The folder of the table's versions, beside those of its database's tables; None where the catalog
+    does not say where these are."""
     *schema, table = [part.strip("`") for part in name.split(".")]
     database = spark.catalog.getDatabase(".".join(schema) or spark.catalog.currentDatabase())
-    return f"{database.locationUri.rstrip('/')}/{table}.versions"
+    return f"{database.locationUri.rstrip('/')}/{table}.versions" if database.locationUri else None
 
 
 def remove_folder(spark: SparkSession, path: str) -> None:
@@ -121,7 +122,8 @@ def replace_table(
     if fmt not in STAGED:
         raise ValueError(f"{fmt} tables are not plain folders; write them by their own replacement")
     spark, keys = df.sparkSession, tuple(partition_by)
-    folder = home(spark, name)
+    if (folder := home(spark, name)) is None:
+        raise ValueError(f"the catalog of {name} does not say where its tables are")
     stage = f"{folder}/{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
     buckets = (bucket_by[0], tuple(bucket_by[1])) if bucket_by else None
     try:
