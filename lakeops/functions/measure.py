@@ -34,7 +34,8 @@ def exact(c: str | Column) -> Column:
 
 
 def sum_2dp(c: str | Column) -> Column:
-    """Sum of an amount, to two places. Rows are summed as they are; only the sum is rounded."""
+    """Sum of an amount, to two places. Rows are summed as they are; only the sum is rounded. ``left_out`` counts
+    the NaN and infinities among them."""
     rounded = F.round(F.try_sum(exact(c)), 2).cast("double")
     return F.coalesce(F.when(_lost(c) == 0, rounded), F.round(_doubles(c), 2))
 
@@ -45,14 +46,20 @@ def avg_2dp(c: str | Column) -> Column:
     return F.coalesce(F.when(_lost(c) == 0, rounded), F.round(_doubles(c) / F.count(_amount(c)), 2))
 
 
+def left_out(c: str | Column) -> Column:
+    """How many amounts no sum can hold, which the two above leave out as gaps: NaN and infinities."""
+    return F.count_if(as_col(c).cast("double").isNotNull() & _amount(c).isNull())
+
+
 def _amount(c: str | Column) -> Column:
-    """NaN is a gap."""
-    return F.nanvl(as_col(c).cast("double"), F.lit(None))
+    """NaN and infinities are gaps."""
+    value = as_col(c).cast("double")
+    return F.when(F.abs(value) < float("inf"), value)
 
 
 def _lost(c: str | Column) -> Column:
-    """Amounts that no decimal holds. Where there are any, or the sum outgrows its decimal, doubles are summed
-    instead: an infinite or huge amount shows in the result."""
+    """Finite amounts that no decimal holds. Where there are any, or the sum outgrows its decimal, doubles are
+    summed instead, so a huge amount shows in the result."""
     return F.count_if(_amount(c).isNotNull() & exact(c).isNull())
 
 
