@@ -81,3 +81,88 @@ def test_nulls_repeats_and_empty_tables(spark, tmp_path):
     assert all(b[0] == a[0] + a[2] for a, b in zip(got, got[1:]))
     tokenids.write(documents(spark, []), str(tmp_path / "b"), WORDS)
     assert tokenids.digests(tokenids.stored(spark, str(tmp_path / "b"))).count() == 0
+
+
+class Counted:
+    """A model that counts what it is asked."""
+
+    def __init__(self, model):
+        self.model, self.asked = model, []
+
+    def tokenize(self, text):
+        self.asked.append(text)
+        return self.model.tokenize(text)
+
+
+def test_a_word_is_encoded_once_whatever_follows_it():
+    own = tokenids.Encoder(WORDS)
+    own.model = Counted(own.model)
+    own.encode("Harbour, harbour. (harbour) harbour's 12 21 harbour\n")
+    own.encode("harbour; HARBOUR!")
+    assert own.model.asked.count("harbour") == 1 and len(own.model.asked) == len(set(own.model.asked)) == 10
+
+
+def test_new_words_are_remembered_when_the_memory_is_full(monkeypatch):
+    monkeypatch.setattr(tokenids, "REMEMBERED", 20)
+    own = tokenids.Encoder(WORDS)
+    own.model = Counted(own.model)
+    for k in range(300):
+        own.encode(f"always {''.join(chr(97 + int(c)) for c in str(k))}xq")
+    assert own.model.asked.count("always") == 1 and len(own.known) + len(own.older) < 30
+    asked = len(own.model.asked)
+    own.encode("always jjxq")
+    own.encode("late")
+    own.encode("late")
+    assert own.model.asked[asked:].count("late") == 1
+
+
+@pytest.mark.parametrize("at_once", [7, 60, 1 << 20])
+def test_texts_encoded_together_are_the_librarys(monkeypatch, at_once):
+    monkeypatch.setattr(tokenids, "AT_ONCE", at_once)
+    rng = random.Random(at_once)
+    marks = ["'", "''", "s", "t", "re", "ve", "m", "ll", "d", "r", "e", " ", "\n", "\t", "1", "²", "é", "Ⱥ", "×", "–", "!", "\x00", "日"]
+    texts = ODD + ["".join(rng.choices(marks, weights=[9] * 2 + [4] * 19 + [0.1] * 2, k=rng.randrange(40))) for _ in range(800)]
+    library, own = Tokenizer.from_file(WORDS), tokenids.Encoder(WORDS)
+    want = [library.encode(t, add_special_tokens=False).ids for t in texts]
+    groups = list(tokenids._groups(np.array([len(t.encode()) for t in texts])))
+    assert [k for lo, hi in groups for k in range(lo, hi)] == list(range(len(texts)))
+    for lo, hi in groups:
+        ids, ends = own.encode_all(texts[lo:hi])
+        assert [x.tolist() for x in np.split(ids, ends)] == [*want[lo:hi], []]
+
+
+def by_rounds(ids, base, min_pairs):
+    """Re-Pair in rounds that count every pair anew."""
+    rules, symbols = [], list(ids)
+    while True:
+        counts = {}
+        for p in zip(symbols, symbols[1:]):
+            counts[p] = counts.get(p, 0) + 1
+        least = max(min_pairs, max(counts.values(), default=0) // 8)
+        chosen = {p for p, n in counts.items() if n >= least}
+        places, last = {}, -2
+        for k, p in enumerate(zip(symbols, symbols[1:])):
+            if p in chosen:
+                if last != k - 1:
+                    places.setdefault(p, []).append(k)
+                    last = k
+                else:
+                    last = -2
+        used = [p for p in sorted(chosen) if len(places.get(p, [])) > 1]
+        if not used:
+            return rules, symbols
+        new = {k: base + len(rules) + n for n, p in enumerate(used) for k in places[p]}
+        rules += used
+        symbols = [new.get(k, s) for k, s in enumerate(symbols) if k - 1 not in new]
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_rounds_count_only_what_can_still_be_frequent(monkeypatch, seed):
+    counted, frequent_pairs = [], tokenids.frequent_pairs
+    monkeypatch.setattr(tokenids, "frequent_pairs", lambda keys, least: counted.append(len(keys)) or frequent_pairs(keys, least))
+    rng = random.Random(seed)
+    base, min_pairs = rng.choice([(300, 4), (65_530, 4), (100_000, 8)])
+    ids = [rng.randrange(200) if rng.random() < 0.6 else rng.randrange(5) for _ in range(3000)] + [7] * rng.randrange(40)
+    rules, symbols = tokenids.compress(np.array(ids, np.uint32), base, min_pairs)
+    assert (list(map(tuple, rules.tolist())), symbols.tolist()) == by_rounds(ids, base, min_pairs)
+    assert len(counted) > 1 and counted[0] == len(ids) - 1 and counted[-1] < len(symbols) // 2
